@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import named
@@ -37,3 +37,30 @@ def score(tx: DataFrame, artifacts: Artifacts, reference=None, by: Sequence[str]
     inputs = score_inputs(tx, artifacts, reference, by)
     scored = with_probability(artifacts.model, vectors_of(inputs, artifacts.manifest))
     return scored.select(*(named(c) for c in by), "risk_probability")
+
+
+def linear_probability(matrix: DataFrame, weights: Mapping[str, float], intercept: float) -> Column:
+    """Logistic probability of a weighted sum of ``matrix`` columns, for scorecards with given weights.
+
+    Columns that ``matrix`` lacks count as 0.
+    """
+    total = F.lit(float(intercept))
+    for name, weight in weights.items():
+        if name in matrix.columns:
+            total = total + named(name) * F.lit(float(weight))
+    return 1 / (1 + F.exp(-total))
+
+
+def score_linear(
+    tx: DataFrame,
+    artifacts: Artifacts,
+    weights: Mapping[str, float],
+    intercept: float,
+    reference=None,
+    by: Sequence[str] = (CUSTOMER,),
+) -> DataFrame:
+    """``score`` with given weights instead of a fitted model."""
+    inputs = score_inputs(tx, artifacts, reference, by)
+    return inputs.select(
+        *(named(c) for c in by), linear_probability(inputs, weights, intercept).alias("risk_probability")
+    )

@@ -14,7 +14,7 @@ from txrisk.operators.prepare import Preparation
 class Artifacts(NamedTuple):
     fitted: Preparation
     manifest: list[str]
-    model: Model
+    model: Model | None
     feature_set: str = "B"
 
 

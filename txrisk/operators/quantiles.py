@@ -2,7 +2,7 @@
 
 ``percentile`` would hold all distinct values of a column in one task. Here a histogram narrows the search instead: count
 per coarse cell, pick the cells that hold the wanted ranks, count per fine cell inside those, and sort only the values of
-the fine cells left. Each step moves counts, not rows, and every step is exact.
+the fine cells left. Two scans; the shuffles move counts, not rows; every step is exact.
 """
 
 from __future__ import annotations
@@ -63,25 +63,23 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
         F.collect_list(F.struct(F.col("_at").alias("at"), F.col("_id").alias("id"))).alias("_ranks")
     )
 
-    # Step 2: fine cells inside those.
-    near = long.join(F.broadcast(by_cell), ["column", "_coarse"]).withColumn(
-        "_fine", _fine_cell(F.col("value"), F.col("_low"), F.col("_high"))
-    )
+    # Step 2: the distinct values of those cells with their counts, summed up per fine cell.
     cell = ["column", "_coarse"]
-    fine = near.groupBy(*cell, "_fine").agg(F.count(F.lit(1)).alias("_n"))
+    near = (
+        long.join(F.broadcast(by_cell.drop("_ranks")), cell)
+        .groupBy(*cell, _fine_cell(F.col("value"), F.col("_low"), F.col("_high")).alias("_fine"), "value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    fine = near.groupBy(*cell, "_fine").agg(F.sum("_n").alias("_n"))
     fine = fine.join(F.broadcast(by_cell.select(*cell, "_ranks")), cell)
     second = _cells_with_ranks(fine, cell, "_fine", F.col("_ranks"))
     by_fine = second.groupBy(*cell, "_fine").agg(
         F.collect_list(F.struct(F.col("_at").alias("at"), F.col("_id").alias("id"))).alias("_fine_ranks")
     )
 
-    # Step 3: distinct values, with their counts, of the fine cells left.
+    # Step 3: sort the values of the fine cells left. ``near`` is the same shuffle as in step 2, which Spark runs once.
     cell = [*cell, "_fine"]
-    values = near.join(F.broadcast(by_fine.select(*cell)), cell, "left_semi").groupBy(*cell, "value").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    values = values.join(F.broadcast(by_fine), cell)
-    found = _cells_with_ranks(values, cell, "value", F.col("_fine_ranks"))
+    found = _cells_with_ranks(near.join(F.broadcast(by_fine), cell), cell, "value", F.col("_fine_ranks"))
 
     # Interpolate between the two neighbours.
     position = F.array(*(F.lit(float(p)) for p in shares))[F.floor(F.col("_id") / 2).cast("int")]

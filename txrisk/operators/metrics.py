@@ -55,8 +55,9 @@ def roc_auc(scored: DataFrame, label: str, score: str, ranges: int = 512) -> Dat
             F.count_if(named(label) == 1).alias("pos"), F.count_if(named(label) != 1).alias("neg")
         )
     )
-    bounds = per_score.approxQuantile("score", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
-    splits = [-math.inf, *(sorted(set(bounds)) or [0.0]), math.inf]
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    bounds = per_score.agg(F.percentile_approx("score", shares, 4 * ranges)).first()[0]
+    splits = [-math.inf, *sorted(set(bounds or [0.0])), math.inf]
     ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(per_score)
     totals = ranged.groupBy("range").agg(F.sum("neg").alias("_neg"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

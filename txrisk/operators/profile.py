@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +36,8 @@ def _long_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
     """``(column, count, mean, std, min, p25, p50, p75, max)``; std is the sample deviation.
 
-    Quartiles are exact and interpolated. ``approx`` replaces them by one-pass sketches, without interpolation.
+    Quartiles are exact and interpolated (which runs jobs). ``approx`` replaces them by one-pass sketches, without
+    interpolation.
     """
     long = to_long(df, [], columns, "column")
     sketch = [F.percentile_approx("value", p, 10_000).alias(f"p{int(p * 100)}") for p in QUARTILES] if approx else []
@@ -49,16 +50,15 @@ def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> Dat
         *sketch,
     )
     if not approx:
-        stats = stats.join(_quartiles(df, columns), "column", "left")
+        quartiles = exact_quantiles(df, columns, QUARTILES)
+        stats = stats.withColumns({f"p{int(p * 100)}": _constant(quartiles, i) for i, p in enumerate(QUARTILES)})
     return stats.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def _quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, p25, p50, p75)``."""
-    values = exact_quantiles(df, columns, QUARTILES)
-    return values.groupBy("column").agg(
-        *(F.max(F.when(F.col("share") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in QUARTILES)
-    )
+def _constant(per_column: Mapping[str, Sequence[float]], i: int) -> Column:
+    """The ``i``-th constant of the row's ``column``; null for a column that has none."""
+    known = [x for name, values in per_column.items() for x in (F.lit(name), F.lit(values[i]))]
+    return F.create_map(*known)[F.col("column")] if known else F.lit(None).cast("double")
 
 
 def id_uniqueness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -176,23 +176,22 @@ def density_curve(df: DataFrame, columns: Sequence[str], points: int = 200) -> D
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, q1, median, q3, whisker_low, whisker_high, outliers)``.
 
-    Whiskers reach the furthest values within 1.5 interquartile ranges of the box; values beyond are outliers.
+    Whiskers reach the furthest values within 1.5 interquartile ranges of the box; values beyond are outliers. The
+    quartiles run jobs.
     """
-    quartiles = _quartiles(df, columns).select(
-        "column", F.col("p25").alias("q1"), F.col("p50").alias("median"), F.col("p75").alias("q3")
-    )
-    long = to_long(df, [], columns, "column").where(F.col("value").isNotNull())
-    margin = (F.col("q3") - F.col("q1")) * 1.5
-    inside = F.col("value").between(F.col("q1") - margin, F.col("q3") + margin)
-    # One row of quartiles per column is broadcast.
+    quartiles = exact_quantiles(df, columns, QUARTILES)
+    q1, median, q3 = (_constant(quartiles, i) for i in range(3))
+    long = to_long(df, [], [c for c in columns if c in quartiles], "column").where(F.col("value").isNotNull())
+    margin = (q3 - q1) * 1.5
+    inside = F.col("value").between(q1 - margin, q3 + margin)
     return (
-        long.join(F.broadcast(quartiles), "column")
-        .groupBy("column", "q1", "median", "q3")
+        long.groupBy("column")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
             F.count_if(~inside).alias("outliers"),
         )
+        .select("column", q1.alias("q1"), median.alias("median"), q3.alias("q3"), "whisker_low", "whisker_high", "outliers")
     )
 
 
@@ -221,19 +220,18 @@ def keys_with_many(df: DataFrame, key: str, other: str) -> DataFrame:
 def relation_checks(df: DataFrame, relations: Sequence[tuple[str, str]]) -> DataFrame:
     """``(relation, keys, keys_with_many, is_unique)``, one row per ``(key, other)`` relation.
 
-    Both directions of a relation read the same distinct pairs, so Spark runs that shuffle once.
+    Both directions of a relation read the same distinct pairs, so Spark runs that shuffle once. For this the pair is always
+    written in the same column order, and null keys are left out of the counts instead of being filtered (a filter would be
+    pushed into the scan of each direction and make the two differ).
     """
     checks = []
     for key, other in relations:
-        # The pair is always written in the same column order, so the plan of both directions starts the same.
-        first, second = sorted((key, other))
-        pairs = distinct_pairs(df, first, second).where(named(key).isNotNull())
-        per_key = pairs.groupBy(key).agg(F.count(other).alias("n"))
+        per_key = distinct_pairs(df, *sorted((key, other))).groupBy(key).agg(F.count(other).alias("n"))
         checks.append(
             per_key.agg(
                 F.lit(f"{key}->{other}").alias("relation"),
-                F.count(F.lit(1)).alias("keys"),
-                F.count_if(F.col("n") > 1).alias("keys_with_many"),
+                F.count(named(key)).alias("keys"),
+                F.count_if(named(key).isNotNull() & (F.col("n") > 1)).alias("keys_with_many"),
             )
         )
     return _union(checks).withColumn("is_unique", F.col("keys_with_many") == 0)

@@ -1,18 +1,21 @@
 """Exact quantiles with linear interpolation, for columns of any size.
 
 ``percentile`` would hold all distinct values of a column in one task. Here a histogram narrows the search instead: count
-per coarse cell, pick the cells that hold the wanted ranks, count per fine cell inside those, and sort only the values of
-the fine cells left. Two scans; the shuffles move counts, not rows; every step is exact.
+per coarse cell, keep the distinct values of the cells that hold a wanted rank, count those per fine cell, and sort only
+the values of the fine cells left. Two scans, of which the second has literal bounds that reach the Parquet reader; every
+shuffle moves counts, and every step is exact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.functions.columns import to_long
+from txrisk.functions.columns import named, to_long
+from txrisk.session import materialise, release
 
 # Coarse cells are about 0.2 % wide relative to their value, so long tails spread over many cells. A column has at most
 # some hundred thousand of them (a few thousand in practice), whatever its row count.
@@ -20,16 +23,20 @@ _CELLS_PER_E = 512
 _FINE_CELLS = 4096
 
 
+def _value(column: str) -> Column:
+    # Adding 0 makes one value of -0.0 and 0.0.
+    return named(column).cast("double") + F.lit(0.0)
+
+
 def _coarse_cell(value: Column) -> Column:
     return F.signum(value) * F.floor(F.log1p(F.abs(value)) * _CELLS_PER_E)
 
 
-def _fine_cell(value: Column, low: Column, high: Column) -> Column:
-    return F.when(high > low, F.floor((value - low) / (high - low) * _FINE_CELLS)).otherwise(F.lit(0))
-
+def _with_ranks(counts: DataFrame, group: Sequence[str], order: str, ranks: Column) -> DataFrame:
+    """The rows of ``counts`` that hold one of ``ranks`` (structs ``at``, ``id``; 0-based within the group).
 
-def _cells_with_ranks(counts: DataFrame, group: list[str], order: str, ranks: Column) -> DataFrame:
-    """Cells that hold one of ``ranks`` (0-based within the group), one row per rank, with the rank inside the cell."""
+    One row per rank: ``_id`` and ``_at``, the rank inside the row's own values. At most as many rows as ranks are asked.
+    """
     window = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = counts.withColumn("_end", F.sum("_n").over(window))
     inside = F.filter(ranks, lambda r: (r["at"] >= F.col("_end") - F.col("_n")) & (r["at"] < F.col("_end")))
@@ -38,56 +45,85 @@ def _cells_with_ranks(counts: DataFrame, group: list[str], order: str, ranks: Co
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """``(column, share, value)``; nulls are ignored, a column without values gives no rows."""
-    # -0.0 and 0.0 are one value.
-    long = to_long(df, [], columns, "column").where(F.col("value").isNotNull())
-    long = long.withColumn("value", F.col("value") + F.lit(0.0)).withColumn("_coarse", _coarse_cell(F.col("value")))
+def _lookup(ranks: Mapping[tuple, list[tuple[int, int]]], key: Column) -> Column:
+    """Ranks per key as a literal map."""
+    entries = []
+    for k, wanted in ranks.items():
+        entries.append(F.lit("/".join(map(str, k))))
+        entries.append(F.array(*(F.struct(F.lit(at).alias("at"), F.lit(i).alias("id")) for at, i in wanted)))
+    return F.create_map(*entries)[key]
 
-    # Step 1: the coarse cells of the lower and upper neighbour of each wanted position.
-    coarse = long.groupBy("column", "_coarse").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("value").alias("_low"), F.max("value").alias("_high")
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float]]:
+    """The value at each of ``shares`` per column, like ``DataFrame.approxQuantile`` but exact and interpolated.
+
+    Runs jobs. Nulls and NaN are ignored; a column without values is absent. What reaches the driver is at most two rows
+    per column and share at every step.
+    """
+    long = to_long(df, [], columns, "column").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    long = long.withColumn("value", F.col("value") + F.lit(0.0))
+    coarse = long.groupBy("column", _coarse_cell(F.col("value")).alias("cell")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
-    last = F.sum("_n").over(Window.partitionBy("column")) - 1
-    coarse = coarse.withColumn("_last", last)
+    coarse = coarse.withColumn("last", F.sum("_n").over(Window.partitionBy("column")) - 1)
+    # Both neighbours of every wanted position, numbered 2i and 2i + 1.
     ranks = F.array(
         *(
-            F.struct(side(F.col("_last") * F.lit(float(p))).alias("at"), F.lit(2 * i + j).alias("id"))
+            F.struct(side(F.col("last") * F.lit(float(p))).alias("at"), F.lit(2 * i + j).alias("id"))
             for i, p in enumerate(shares)
             for j, side in enumerate((F.floor, F.ceil))
         )
     )
-    first = _cells_with_ranks(coarse, ["column"], "_coarse", ranks)
-    # At most two rows per column and share from here on, so all the broadcasts below are of a fixed size.
-    by_cell = first.groupBy("column", "_coarse", "_low", "_high").agg(
-        F.collect_list(F.struct(F.col("_at").alias("at"), F.col("_id").alias("id"))).alias("_ranks")
-    )
-
-    # Step 2: the distinct values of those cells with their counts, summed up per fine cell.
-    cell = ["column", "_coarse"]
-    near = (
-        long.join(F.broadcast(by_cell.drop("_ranks")), cell)
-        .groupBy(*cell, _fine_cell(F.col("value"), F.col("_low"), F.col("_high")).alias("_fine"), "value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    fine = near.groupBy(*cell, "_fine").agg(F.sum("_n").alias("_n"))
-    fine = fine.join(F.broadcast(by_cell.select(*cell, "_ranks")), cell)
-    second = _cells_with_ranks(fine, cell, "_fine", F.col("_ranks"))
-    by_fine = second.groupBy(*cell, "_fine").agg(
-        F.collect_list(F.struct(F.col("_at").alias("at"), F.col("_id").alias("id"))).alias("_fine_ranks")
-    )
-
-    # Step 3: sort the values of the fine cells left. ``near`` is the same shuffle as in step 2, which Spark runs once.
-    cell = [*cell, "_fine"]
-    found = _cells_with_ranks(near.join(F.broadcast(by_fine), cell), cell, "value", F.col("_fine_ranks"))
-
-    # Interpolate between the two neighbours.
-    position = F.array(*(F.lit(float(p)) for p in shares))[F.floor(F.col("_id") / 2).cast("int")]
-    totals = coarse.groupBy("column").agg(F.first("_last").alias("_last"))
-    sides = found.select("column", position.alias("share"), (F.col("_id") % 2).alias("_side"), "value")
-    pairs = sides.groupBy("column", "share").agg(F.min("value").alias("_lower"), F.max("value").alias("_upper"))
-    exact = F.col("_last") * F.col("share")
-    weight = exact - F.floor(exact)
-    return pairs.join(F.broadcast(totals), "column").select(
-        "column", "share", (F.col("_lower") + (F.col("_upper") - F.col("_lower")) * weight).alias("value")
-    )
+    spots = _with_ranks(coarse, ["column"], "cell", ranks).collect()
+    last = {r["column"]: r["last"] for r in spots}
+    found = {(r["column"], r["_id"]): r["low"] for r in spots if r["low"] == r["high"]}
+    open_spots = [r for r in spots if r["low"] < r["high"]]
+    if open_spots:
+        found |= _search_cells(df, open_spots)
+
+    def interpolate(column: str, i: int, share: float) -> float:
+        low, high = found[column, 2 * i], found[column, 2 * i + 1]
+        position = last[column] * share
+        return low + (high - low) * (position - math.floor(position))
+
+    return {c: [interpolate(c, i, float(p)) for i, p in enumerate(shares)] for c in last}
+
+
+def _search_cells(df: DataFrame, spots: list) -> dict[tuple[str, int], float]:
+    """The values at the ranks of ``spots`` (column, low, high, rank inside that cell)."""
+    cells: dict[str, list[tuple[float, float]]] = {}
+    ranks: dict[tuple, list[tuple[int, int]]] = {}
+    for r in spots:
+        bounds = cells.setdefault(r["column"], [])
+        if (r["low"], r["high"]) not in bounds:
+            bounds.append((r["low"], r["high"]))
+        ranks.setdefault((r["column"], bounds.index((r["low"], r["high"]))), []).append((r["_at"], r["_id"]))
+
+    near = None
+    for column, bounds in cells.items():
+        value = _value(column)
+        inside = [value.between(low, high) for low, high in bounds]
+        fine = [F.floor((value - low) / (high - low) * _FINE_CELLS) for low, high in bounds]
+        hit = F.coalesce(
+            *(
+                F.when(test, F.struct(F.lit(f"{column}/{i}").alias("cell"), at.alias("fine")))
+                for i, (test, at) in enumerate(zip(inside, fine, strict=True))
+            )
+        )
+        # Plain bounds on the bare column, for the file reader; the cells themselves decide below.
+        reach = (named(column) >= min(b[0] for b in bounds)) & (named(column) <= max(b[1] for b in bounds))
+        part = df.where(reach).select(hit.alias("hit"), value.alias("value")).where(F.col("hit").isNotNull())
+        part = part.select("hit.*", "value").groupBy("cell", "fine", "value").agg(F.count(F.lit(1)).alias("_n"))
+        near = part if near is None else near.unionByName(part)
+    near = materialise(near)
+
+    counts = near.groupBy("cell", "fine").agg(F.sum("_n").alias("_n"))
+    fine_spots = _with_ranks(counts, ["cell"], "fine", _lookup(ranks, F.col("cell"))).collect()
+    fine_ranks: dict[tuple, list[tuple[int, int]]] = {}
+    for r in fine_spots:
+        fine_ranks.setdefault((r["cell"], r["fine"]), []).append((r["_at"], r["_id"]))
+    key = F.concat_ws("/", "cell", F.col("fine").cast("string"))
+    left = near.where(key.isin(["/".join(map(str, k)) for k in fine_ranks])).withColumn("key", key)
+    rows = _with_ranks(left, ["key"], "value", _lookup(fine_ranks, F.col("key"))).collect()
+    release(near)
+    return {(r["cell"].rsplit("/", 1)[0], r["_id"]): r["value"] for r in rows}

@@ -80,18 +80,16 @@ def numeric_stats(df: DataFrame, numerical: Sequence[str]) -> DataFrame:
     )
 
 
-def category_counts(df: DataFrame, categorical: Sequence[str], limit: int | None = None) -> DataFrame:
-    """``(feature, value, n, rank)``: known values per feature, most frequent first and the smaller value on ties.
+def category_counts(df: DataFrame, categorical: Sequence[str], limit: int) -> DataFrame:
+    """``(feature, value, n, rank)``: the ``limit`` most frequent known values per feature, the smaller value first on ties.
 
-    With ``limit`` only the first ``limit`` ranks of each feature come back; Spark then trims every partition before the
-    ranking shuffle.
+    Spark trims every partition to ``limit`` rows per feature before the ranking shuffle.
     """
     text = df.select(*(named(c).cast("string").alias(c) for c in categorical))
     long = text.unpivot([], [named(c) for c in categorical], "feature", "value").where(F.col("value").isNotNull())
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("feature").orderBy(F.desc("n"), F.asc("value"))
-    ranked = counts.withColumn("rank", F.row_number().over(order))
-    return ranked if limit is None else ranked.where(F.col("rank") <= limit)
+    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
 
 def impute_stats(df: DataFrame, categorical: Sequence[str], numerical: Sequence[str]) -> DataFrame:

@@ -63,8 +63,11 @@ def train_risk_model(
     require_columns(tx)
     spark = tx.sparkSession
     customers = materialise(customer_features(tx, reference))
+    kept = [customers]
     if labels is None:
-        labels = rfm_labels(materialise(fit_features(customers, "A").matrix), seed=seed)
+        kept.append(materialise(fit_features(customers, "A").matrix))
+        labels = rfm_labels(kept[-1], seed=seed)
+    labels = materialise(labels)
     vectors, made = labelled_vectors(customers, labels, "B", test_share, seed)
     vectors = materialise(vectors)
     estimator = estimator or random_forest(seed=seed)
@@ -77,5 +80,6 @@ def train_risk_model(
     if run_log_path:
         params = {p.name: v for p, v in estimator.extractParamMap().items()}
         log_run(spark, run_log_path, uuid4().hex, params, {m: metrics[m] for m in METRIC_NAMES}, run_name)
-    release(vectors)
+    for frame in (*kept, labels, vectors):
+        release(frame)
     return TrainingRun(artifacts, {m: metrics[m] for m in METRIC_NAMES}, scored)

@@ -50,7 +50,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     Columns are matched by header name, so their order in the file is free; columns outside ``schema`` stay as text and
     columns of ``schema`` that the file lacks are absent (``require_columns`` reports those that matter).
     """
-    text = spark.read.option("header", True).option("escape", '"').csv(path)
+    # Files whose header differs from that of the first one are refused.
+    text = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False).csv(path)
     types = {f.name: f.dataType for f in schema.fields}
     columns = []
     for name in text.columns:

@@ -143,9 +143,9 @@ def encoded_columns(fitted: Preparation) -> list[Column]:
     """One indicator per known category; a null takes the most frequent one, an unseen value sets none."""
     columns = []
     for c in fitted.categorical:
+        # A feature has categories only if it has a most frequent one, so the value is never null.
         value = F.coalesce(named(c).cast("string"), F.lit(fitted.fill[c]))
-        for v in fitted.categories[c]:
-            columns.append(F.coalesce((value == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"cat__{c}_{v}"))
+        columns += [(value == v).cast("double").alias(f"cat__{c}_{v}") for v in fitted.categories[c]]
     return columns
 
 
@@ -159,15 +159,18 @@ def scaled_columns(fitted: Preparation) -> list[Column]:
     ]
 
 
-def apply_preparation(df: DataFrame, fitted: Preparation, keep: Sequence[str] = ()) -> DataFrame:
-    """``keep`` columns as they are, then the encoded and the scaled block; no join and no shuffle.
+def apply_preparation(
+    df: DataFrame, fitted: Preparation, keep: Sequence[str] = (), extras: Sequence[str] = ()
+) -> DataFrame:
+    """``keep`` columns as they are, the encoded and the scaled block, then ``extras`` with nulls as 0; no join, no shuffle.
 
     Inputs that ``df`` lacks count as null.
     """
     absent = [c for c in (*fitted.categorical, *fitted.numerical) if c not in df.columns]
     if absent:
         df = df.withColumns({c: F.lit(None).cast("string" if c in fitted.categorical else "double") for c in absent})
-    return df.select(*(named(c) for c in keep), *encoded_columns(fitted), *scaled_columns(fitted))
+    passed = [F.coalesce(named(c), F.lit(0)).alias(c) for c in extras]
+    return df.select(*(named(c) for c in keep), *encoded_columns(fitted), *scaled_columns(fitted), *passed)
 
 
 def feature_vector(df: DataFrame, names: Sequence[str], output: str = "features") -> DataFrame:

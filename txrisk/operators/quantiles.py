@@ -11,11 +11,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import named, to_long
-from txrisk.session import materialise, release
 
 # Coarse cells are about 0.2 % wide relative to their value, so long tails spread over many cells. A column has at most
 # some hundred thousand of them (a few thousand in practice), whatever its row count.
@@ -115,7 +115,7 @@ def _search_cells(df: DataFrame, spots: list) -> dict[tuple[str, int], float]:
         part = df.where(reach).select(hit.alias("hit"), value.alias("value")).where(F.col("hit").isNotNull())
         part = part.select("hit.*", "value").groupBy("cell", "fine", "value").agg(F.count(F.lit(1)).alias("_n"))
         near = part if near is None else near.unionByName(part)
-    near = materialise(near)
+    near = near.persist(StorageLevel.MEMORY_AND_DISK)  # read by the two jobs below, then dropped
 
     counts = near.groupBy("cell", "fine").agg(F.sum("_n").alias("_n"))
     fine_spots = _with_ranks(counts, ["cell"], "fine", _lookup(ranks, F.col("cell"))).collect()
@@ -125,5 +125,5 @@ def _search_cells(df: DataFrame, spots: list) -> dict[tuple[str, int], float]:
     key = F.concat_ws("/", "cell", F.col("fine").cast("string"))
     left = near.where(key.isin(["/".join(map(str, k)) for k in fine_ranks])).withColumn("key", key)
     rows = _with_ranks(left, ["key"], "value", _lookup(fine_ranks, F.col("key"))).collect()
-    release(near)
+    near.unpersist()
     return {(r["cell"].rsplit("/", 1)[0], r["_id"]): r["value"] for r in rows}

@@ -5,9 +5,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from txrisk.functions.columns import named
 from txrisk.operators.prepare import MAX_CATEGORIES, Preparation, apply_preparation, fit_preparation
 from txrisk.operators.rollup import customer_features
 from txrisk.operators.validate import require_columns
@@ -23,10 +21,8 @@ class Features(NamedTuple):
 
 def encode_customers(customers: DataFrame, fitted: Preparation, feature_set: str, keep=(CUSTOMER,)) -> DataFrame:
     """Encode already rolled-up customers: id, categorical block, numeric block, extras (nulls in extras become 0)."""
-    extras = FEATURE_SETS[feature_set].extras
-    filled = customers.withColumns({c: F.coalesce(named(c), F.lit(0)) for c in extras if c in customers.columns})
-    encoded = apply_preparation(filled, fitted, keep=[*keep, *(c for c in extras if c in customers.columns)])
-    return encoded.select(*keep, *(named(c) for c in fitted.names), *(c for c in extras if c in customers.columns))
+    extras = [c for c in FEATURE_SETS[feature_set].extras if c in customers.columns]
+    return apply_preparation(customers, fitted, keep, extras)
 
 
 def fit_features(

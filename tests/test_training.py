@@ -131,3 +131,22 @@ def test_feature_sets_share_what_they_should(many_tx):
     assert "num__Frequency" in a.manifest and "Frequency" in b.manifest and "num__Frequency" not in b.manifest
     assert a.fitted.categories == b.fitted.categories
     assert a.matrix.columns == ["CustomerId", *a.manifest] and b.matrix.columns == ["CustomerId", *b.manifest]
+
+
+def test_preparation_fitted_on_the_training_part_only(many_tx):
+    customers = materialise(customer_features(many_tx))
+    labels = customers.select("CustomerId", (F.col("Value_mean") > 500).cast("int").alias("is_high_risk"))
+    everyone, on_all = labelled_vectors(customers, labels)
+    some, on_train = labelled_vectors(customers, labels, fit_on="train")
+    assert on_all.fitted.fill["Amount_sum"] != on_train.fitted.fill["Amount_sum"]
+    splits = [{(r["CustomerId"], r["split"]) for r in df.collect()} for df in (everyone, some)]
+    assert splits[0] == splits[1]
+    with pytest.raises(ValueError, match="fit_on"):
+        labelled_vectors(customers, labels, fit_on="test")
+
+
+def test_training_may_leave_out_invalid_transactions(many_tx):
+    estimator = train.random_forest(trees=2, max_depth=2)
+    made = train_risk_model(many_tx, estimator=estimator, only_valid=True, reference=REF)
+    whole = train_risk_model(many_tx, estimator=estimator, reference=REF)
+    assert made.artifacts.fitted.fill["Amount_min"] > 0 > whole.artifacts.fitted.fill["Amount_min"]

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.columns import named
 
-# Wide encodings stop being sensible plans beyond this many indicator columns per feature; see fit_sparse_encoder.
-MAX_CATEGORIES = 200
+# Beyond this many indicator columns per feature a wide projection is refused unless the caller raises the number; there is
+# no such limit on fit_sparse_encoder.
+MAX_CATEGORIES = 1000
 
 
 @dataclass(frozen=True)
@@ -121,7 +122,8 @@ def fit_preparation(
     wide = [c for c in categorical if len(categories[c]) > max_categories]
     if wide:
         raise ValueError(
-            f"More than {max_categories} categories in {wide}: use fit_sparse_encoder, which keeps them in one sparse vector"
+            f"More than {max_categories} categories in {wide}: raise max_categories, or use fit_sparse_encoder, which keeps "
+            "them in one sparse vector"
         )
     scale: dict[str, float] = {}
     if numerical:

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from txrisk.functions.columns import named
 from txrisk.operators.label import rfm_labels
 from txrisk.operators.metrics import METRIC_NAMES, evaluate
-from txrisk.operators.prepare import require_feature_names
+from txrisk.operators.prepare import MAX_CATEGORIES, require_feature_names
 from txrisk.operators.rollup import customer_features
 from txrisk.operators.split import stratified_split
 from txrisk.operators.train import LABEL, random_forest, training_set, vectors_of, with_probability
-from txrisk.operators.validate import require_columns
-from txrisk.plans.features import fit_features
+from txrisk.operators.validate import require_columns, validate_transactions
+from txrisk.plans.features import Features, fit_features
 from txrisk.schema import CUSTOMER
 from txrisk.session import materialise, release
 from txrisk.sources.artifacts import Artifacts, save_artifacts
@@ -32,17 +32,29 @@ class TrainingRun(NamedTuple):
 
 
 def labelled_vectors(
-    customers: DataFrame, labels: DataFrame, feature_set: str = "B", test_share: float = 0.2, seed: int = 42
-):
+    customers: DataFrame,
+    labels: DataFrame,
+    feature_set: str = "B",
+    test_share: float = 0.2,
+    seed: int = 42,
+    fit_on: str = "all",
+    max_categories: int = MAX_CATEGORIES,
+) -> tuple[DataFrame, Features]:
     """``(frame, features)``: id, label, split and feature vector per labelled customer, with what was fitted.
 
-    The preparation is fitted on all customers, before the split.
+    Both inputs should be materialised. The preparation is fitted on all customers, or with ``fit_on="train"`` on those of
+    the training part only; the split is the same either way.
     """
-    made = fit_features(customers, feature_set)
-    rows = training_set(made.matrix, labels, keep_id=True)
-    rows = require_feature_names(rows, made.manifest, keep=[CUSTOMER, LABEL])
-    vectors = vectors_of(rows, made.manifest).select(CUSTOMER, LABEL, "features")
-    return stratified_split(vectors, LABEL, CUSTOMER, test_share, seed), made
+    split = stratified_split(training_set(customers.select(CUSTOMER), labels, keep_id=True), LABEL, CUSTOMER, test_share, seed)
+    if fit_on not in ("all", "train"):
+        raise ValueError(f"fit_on is 'all' or 'train', not {fit_on!r}")
+    base = None
+    if fit_on == "train":
+        base = customers.join(split.where(F.col("split") == "train").select(CUSTOMER), CUSTOMER, "left_semi")
+    made = fit_features(customers, feature_set, max_categories, fit_on=base)
+    matrix = require_feature_names(made.matrix, made.manifest, keep=[CUSTOMER])
+    vectors = vectors_of(matrix, made.manifest).select(CUSTOMER, "features")
+    return vectors.join(split, CUSTOMER), made
 
 
 def train_risk_model(
@@ -52,23 +64,29 @@ def train_risk_model(
     estimator: Estimator | None = None,
     test_share: float = 0.2,
     seed: int = 42,
+    fit_on: str = "all",
+    only_valid: bool = False,
+    max_categories: int = MAX_CATEGORIES,
     artifact_path: str | None = None,
     run_log_path: str | None = None,
     run_name: str = "random_forest",
 ) -> TrainingRun:
     """Train and evaluate; without ``labels`` the proxy label is derived from the same customers.
 
+    ``only_valid`` leaves out the transactions that scoring would refuse, for example those with a negative amount.
     Runs jobs: the roll-up is computed once and kept, then read for fitting, labelling and training.
     """
     require_columns(tx)
     spark = tx.sparkSession
+    if only_valid:
+        tx = validate_transactions(tx).accepted
     customers = materialise(customer_features(tx, reference))
     kept = [customers]
     if labels is None:
-        kept.append(materialise(fit_features(customers, "A").matrix))
+        kept.append(materialise(fit_features(customers, "A", max_categories).matrix))
         labels = rfm_labels(kept[-1], seed=seed)
     labels = materialise(labels)
-    vectors, made = labelled_vectors(customers, labels, "B", test_share, seed)
+    vectors, made = labelled_vectors(customers, labels, "B", test_share, seed, fit_on, max_categories)
     vectors = materialise(vectors)
     estimator = estimator or random_forest(seed=seed)
     model = estimator.fit(vectors.where(F.col("split") == "train").select("features", named(LABEL)))

@@ -2,8 +2,8 @@
 
 ``percentile`` would hold all distinct values of a column in one task. Here a histogram narrows the search instead: count
 per coarse cell, keep the distinct values of the cells that hold a wanted rank, count those per fine cell, and sort only
-the values of the fine cells left. Two scans, of which the second has literal bounds that reach the Parquet reader; every
-shuffle moves counts, and every step is exact.
+the values of the fine cells left. Two scans, the second with literal bounds (for a stored column they reach the Parquet
+reader); every shuffle moves counts, and every step is exact.
 """
 
 from __future__ import annotations

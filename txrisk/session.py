@@ -7,6 +7,15 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+# For tables of tens of terabytes: ``spark_session(**LARGE_TABLES)``. Shuffles start with enough partitions for the largest
+# of them (customers times a few values) and adaptive execution merges what turns out small.
+LARGE_TABLES = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
 
 def spark_session(app_name: str = "txrisk", **conf: str) -> SparkSession:
     """A session with the settings every job here relies on; ``conf`` adds to or replaces them."""

@@ -2,12 +2,17 @@ from __future__ import annotations
 
 import os
 import sys
+import time
 from datetime import datetime
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+# Rows cross between Python and Spark in the zone of the Python process; expected values are in UTC.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 from txrisk.schema import TX_SCHEMA  # noqa: E402
 from txrisk.session import spark_session  # noqa: E402
 

@@ -1,6 +1,6 @@
 import math
 from collections import Counter, defaultdict
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import types as T
@@ -88,6 +88,12 @@ def test_recency_rounds_down(make_tx, moment, days):
     assert one(customer_features(make_tx({"TransactionStartTime": moment}), REF))["Recency"] == days
 
 
+@pytest.mark.parametrize(("zone", "days"), [(None, 1), (timezone.utc, 1), (timezone(timedelta(hours=3)), 0)])
+def test_reference_may_be_a_datetime(make_tx, zone, days):
+    row = one(customer_features(make_tx({}), datetime(2025, 6, 16, 14, tzinfo=zone)))
+    assert row["Recency"] == days
+
+
 def test_null_customers_are_dropped_but_count_for_the_reference_date(make_tx):
     tx = make_tx({}, {"CustomerId": None, "TransactionStartTime": "2025-06-17T14:00:00"})
     assert reference_date(tx).first()[0] == datetime(2025, 6, 17, 14)

@@ -25,7 +25,8 @@ def _reference(tx: DataFrame, given: datetime | str | Column | None) -> Column:
         return reference_date(tx).scalar()
     if isinstance(given, Column):
         return given
-    return F.lit(given).cast("timestamp")
+    # As text, so that a moment without a zone is read in the session time zone, not in that of the Python process.
+    return F.lit(given.isoformat() if isinstance(given, datetime) else given).cast("timestamp")
 
 
 def customer_features(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.columns import days_since, position_of_first_max
 from txrisk.functions.timefeat import day_of_week, hour_of
-from txrisk.schema import CUSTOMER, FEATURE_SCHEMA, TIME
+from txrisk.schema import CUSTOMER, TIME
 
 _MODE_COLUMNS = ("CountryCode", "CurrencyCode", "ChannelId")
 
@@ -112,6 +112,3 @@ def _favourites(rows: DataFrame, keys: list[str]) -> DataFrame:
     return per_value.groupBy(*keys).agg(
         F.count("AccountId").alias("AccountFrequency"), *(most_frequent(c) for c in _MODE_COLUMNS)
     )
-
-
-FEATURE_COLUMNS = FEATURE_SCHEMA.names

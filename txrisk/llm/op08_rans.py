@@ -17,6 +17,7 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,10 @@ SCALE, LANES, BLOCK, END = 20, 1024, 1 << 18, 0
 _LOW = np.uint64(1 << 31)
 _MAGIC = b"TXRANS01"
 _TWO_SPACES = re.compile(r"\s\s")
-_CACHE = 300_000  # words that a task remembers the ids of
+# A fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others follow from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_CACHE = 800_000  # words that a Python worker remembers the ids of, for all its tasks
 
 
 def quantise(counts: np.ndarray) -> np.ndarray:
@@ -137,46 +141,63 @@ class _Words(dict):
     in a letter and one comma or full stop, so pieces have the same ids alone as in their text.
     """
 
-    def __init__(self, tokenizer, kind: str):
+    def __init__(self, tokenizer_file: str):
+        from tokenizers import Tokenizer
+
         super().__init__()
-        self.tokenizer, self.kind = tokenizer, kind
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.size = self.tokenizer.get_vocab_size()
+        self.kind, self.code = ("<u2", "H") if self.size <= 1 << 16 else ("<u4", "I")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        parts = json.loads(self.tokenizer.to_str())
+        pre = parts.get("pre_tokenizer") or {}
+        self.by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not parts.get("normalizer")
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def document(self, text: str) -> bytes:
+        if not self.by_word or "\0" in text or _TWO_SPACES.search(text) or any(s in text for s in self.special):
+            return self.ids(text)
+        return b"".join([self[p] for p in text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0") if p])
+
     def __missing__(self, piece: str) -> bytes:
+        # Composites are not kept, only what they consist of.
         if len(piece) > 2 and piece[-1] in ".," and piece[-2].isalpha():
-            found = self[piece[:-1]] + self[piece[-1]]
+            return self[piece[:-1]] + self[piece[-1]]
+        if len(piece) > 1 and piece[0] == "\n" and piece[1].isalpha():
+            return self[piece[0]] + self[piece[1:]]
+        if piece.isalpha() or piece[0] == " " and piece[1:].isalpha():
+            # One pre-token for sure, so the merges can start at once.
+            letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            found = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
         else:
             found = self.ids(piece)
-        if len(self) >= _CACHE:
-            self.clear()
-        if len(piece) <= 40:
+        if len(self) < _CACHE and len(piece) <= 40:
             self[piece] = found
         return found
 
 
+_WORDS: dict[str, _Words] = {}
+
+
+def _words(tokenizer_file: str) -> _Words:
+    """Those of this Python worker, which outlives its tasks."""
+    if tokenizer_file not in _WORDS:
+        _WORDS[tokenizer_file] = _Words(tokenizer_file)
+    return _WORDS[tokenizer_file]
+
+
 def tokenise(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     """Rows of kind 0: doc_id, n tokens and their ids; of kind 1: a token id in ``doc_id`` and how often this task saw it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        size = tokenizer.get_vocab_size()
-        kind = "<u2" if size <= 1 << 16 else "<u4"
-        pre = json.loads(tokenizer.to_str()).get("pre_tokenizer") or {}
-        by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-        words, counts, end = _Words(tokenizer, kind), np.zeros(size, np.int64), np.array([END], kind).tobytes()
+        words = _words(tokenizer_file)
+        kind, size = words.kind, words.size
+        counts, end = np.zeros(size, np.int64), np.array([END], kind).tobytes()
         for batch in batches:
-            coded = []
-            for text in batch.column(1).to_pylist():
-                if by_word and "\0" not in text and not _TWO_SPACES.search(text) and not any(s in text for s in special):
-                    pieces = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-                    coded.append(b"".join([words[p] for p in pieces if p] + [end]))
-                else:
-                    coded.append(words.ids(text) + end)
+            coded = [words.document(text) + end for text in batch.column(1).to_pylist()]
             flat = np.frombuffer(b"".join(coded), kind)
             counts += np.bincount(flat, minlength=size)
             n = [len(c) // int(kind[2]) for c in coded]
@@ -203,9 +224,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, file_tokens: int = 4
     freq, folder = quantise(counts), new_path(spark, "token-files")
     if not len(seen):
         return spark.createDataFrame([], "part int, number int, path string, tokens long"), freq
-    from tokenizers import Tokenizer
-
-    kind = "<u2" if Tokenizer.from_file(tokenizer_file).get_vocab_size() <= 1 << 16 else "<u4"
+    kind = _words(tokenizer_file).kind
     shared = spark.sparkContext.broadcast(freq)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,6 +11,7 @@ from txrisk.llm.op01_html import extract_main_text
 from txrisk.llm.op02_packing import pack, with_lengths
 from txrisk.llm.op03_warc import archive_round_trip
 from txrisk.llm.op04_pii import pseudonymise
+from txrisk.llm.op06_near_dedup import near_duplicates
 from txrisk.llm.op07_secrets import find_secrets
 from txrisk.llm.op08_rans import read_token_files, write_token_files
 
@@ -33,6 +34,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, spans_column="spans")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_warc": op3_warc,
     "op4_pii": op4_pii,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_secrets": op7_secrets,
     "op8_token_files": op8_token_files,
 }

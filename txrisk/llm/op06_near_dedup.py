@@ -71,7 +71,7 @@ def _sid(shingles: np.ndarray) -> bytes:
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, sid (128 bits that name the set; null for an empty one), the minwise tokens, and their low bytes."""
+    """doc_id, text_hash, n_shingles, sid (128 bits that name the set; null for an empty one), the minwise tokens, and their low bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,10 +83,11 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 sids.append(_sid(own) if len(own) else None)
                 tokens.append(None if least is None else least.tobytes())
                 short.append(None if least is None else least.astype(np.uint8).tobytes())
-            columns = [batch.column(0), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in (sids, tokens, short))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "sid", "tokens", "short"])
+            columns = [batch.column(0), batch.column(2), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in (sids, tokens, short))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n_shingles", "sid", "tokens", "short"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sid binary, tokens binary, short binary")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, sid binary, tokens binary, short binary")
 
 
 def _tokens_of(column: pa.Array) -> np.ndarray:
@@ -338,7 +339,7 @@ def _dealt(nodes: DataFrame, leaf: int, complete: bool) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 16, first_trees: int = 4, leaf: int = 256, depth: int = 6, slack: float = 0.11) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every document.
+    """doc_id, n_shingles, component_id and kept for every document; text_hash tells rows of one id apart.
 
     Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked. ``slack`` is how far below the
     threshold the tokens may put a pair that is still confirmed on its full sets (three standard deviations at 128 tokens).
@@ -360,9 +361,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
         edges = kept(found if edges is None else found.unionByName(edges), "links")
         labels = kept(components(edges), "labels")
     # Component of each set, then the smallest id of each component.
-    tagged = own.select("doc_id", "n_shingles", "sid").join(labels.withColumnRenamed("vertex", "sid"), "sid", "left")
-    tagged = tagged.select("doc_id", "n_shingles", F.coalesce("root", "sid").alias("root"))
+    tagged = own.select("doc_id", "n_shingles", "text_hash", "sid").join(labels.withColumnRenamed("vertex", "sid"), "sid", "left")
+    tagged = tagged.select("doc_id", "n_shingles", "text_hash", F.coalesce("root", "sid").alias("root"))
     least = tagged.groupBy(F.col("root").alias("of_root")).agg(F.min("doc_id").alias("component_id"))
-    linked = tagged.join(least, F.col("root") == F.col("of_root")).select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("doc_id is null or sid is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    linked = tagged.join(least, F.col("root") == F.col("of_root")).select("doc_id", "n_shingles", "component_id", "text_hash")
+    alone = rows.where("doc_id is null or sid is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash")
+    out = linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "n_shingles", "component_id", "kept", "text_hash")
+
+
+def without_near_duplicates(docs: DataFrame, **options: int) -> DataFrame:
+    """The rows of ``docs`` that have the smallest id of their component, and those without id.
+
+    Rows that repeat both id and text are one document and stay or go together.
+    """
+    found = near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias("dropped_id"), F.col("text_hash").alias("dropped_text")).distinct()
+    text = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(found, (docs["doc_id"].cast("long") == F.col("dropped_id")) & (text == F.col("dropped_text")), "left_anti")

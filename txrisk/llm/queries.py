@@ -11,9 +11,12 @@ from txrisk.llm.op01_html import extract_main_text
 from txrisk.llm.op02_packing import pack, with_lengths
 from txrisk.llm.op03_warc import archive_round_trip
 from txrisk.llm.op04_pii import pseudonymise
+from txrisk.llm.op05_search import search
 from txrisk.llm.op06_near_dedup import near_duplicates
 from txrisk.llm.op07_secrets import find_secrets
 from txrisk.llm.op08_rans import read_token_files, write_token_files
+from txrisk.llm.op09_decontamination import contaminated
+from txrisk.llm.op10_toxicity import toxicity
 
 PII_KEY = b"change me: whoever knows the key can undo the pseudonyms"
 
@@ -34,6 +37,12 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, spans_column="spans")
 
 
+def op5_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 100, taken as a query."""
+    docs = table(spark, sf_dir, "documents")
+    return search(docs, docs.where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
@@ -48,14 +57,25 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(*write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_packing": op2_packing,
     "op3_warc": op3_warc,
     "op4_pii": op4_pii,
+    "op5_search": op5_search,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_secrets": op7_secrets,
     "op8_token_files": op8_token_files,
+    "op9_decontamination": op9_decontamination,
+    "op10_toxicity": op10_toxicity,
 }
 
 # None can be stated in SQL: trees of pages, best fit, archives, keyed permutations, grammars, a tokenizer's merges.

@@ -1,19 +1,65 @@
-"""From raw documents to packed training sequences: the stages of ``txrisk.llm`` one after another."""
+"""From raw documents to packed training sequences: operators of ``txrisk.llm`` one after another.
+
+Every stage takes the table that the one before it left. Columns beyond those of ``documents`` are carried along; documents
+without id stay until packing, which places them like others.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from txrisk.llm.common import kept, table
+from txrisk.llm.op02_packing import pack, with_lengths
+from txrisk.llm.op04_pii import pseudonymise
+from txrisk.llm.op06_near_dedup import without_near_duplicates
+from txrisk.llm.op09_decontamination import without_contaminated
+from txrisk.llm.op10_toxicity import without_toxic
+from txrisk.llm.queries import PII_KEY
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go."""
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, similarity 0.8), the document with the smallest id stays."""
+    return without_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data become pseudonyms; ``n_chars`` follows the new text, null where there is none."""
+    return pseudonymise(docs, PII_KEY).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes in the training sequences."""
+    return pack(with_lengths(docs))
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("pii", pii),
+    ("packing", packing),
+]
 
+# Models, hashed joins and best fit cannot be stated in SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``; what each leaves is written and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = kept(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

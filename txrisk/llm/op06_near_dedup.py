@@ -107,40 +107,51 @@ def _branches(nodes: np.ndarray, tokens: np.ndarray, threshold: float) -> tuple[
     return rows, _mix(_mix(nodes[rows] + np.uint64(1) + chosen.astype(np.uint64)) ^ values)
 
 
+_BRANCHES = "node long, sid binary, comp long"
+
+
+def _children(batch: pa.RecordBatch, nodes: np.ndarray, tokens: np.ndarray, threshold: float) -> pa.RecordBatch:
+    """One batch of ``_BRANCHES``; ``batch`` starts with sid and comp."""
+    at, children = _branches(nodes, tokens, threshold)
+    at = pa.array(at)
+    return pa.RecordBatch.from_arrays([pa.array(children.astype(np.int64)), batch.column(0).take(at), batch.column(1).take(at)], names=["node", "sid", "comp"])
+
+
 def _first_level(vertices: DataFrame, trees: range, threshold: float) -> DataFrame:
-    """(node, sid) of the branches at the roots."""
+    """The branches at the roots."""
     roots = _mix(np.array(trees, np.uint64) + np.uint64(1) << np.uint64(20))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sids, tokens = batch.column(0), _tokens_of(batch.column(1))
+            tokens = _tokens_of(batch.column(2))
             for root in roots:
-                rows, nodes = _branches(np.full(len(tokens), root), tokens, threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes.astype(np.int64)), sids.take(pa.array(rows))], names=["node", "sid"])
+                yield _children(batch, np.full(len(tokens), root), tokens, threshold)
 
-    return vertices.select("sid", "tokens").mapInArrow(run, "node long, sid binary")
+    return vertices.select("sid", "comp", "tokens").mapInArrow(run, _BRANCHES)
 
 
 def _next_level(rows: DataFrame, threshold: float) -> DataFrame:
-    """(node, sid) of the branches of (node, sid, tokens)."""
+    """The branches of (node, sid, comp, tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                nodes = batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
-                at, children = _branches(nodes, _tokens_of(batch.column(2)), threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(children.astype(np.int64)), batch.column(1).take(pa.array(at))], names=["node", "sid"])
+                nodes = batch.column(3).to_numpy(zero_copy_only=False).astype(np.uint64)
+                yield _children(batch, nodes, _tokens_of(batch.column(2)), threshold)
 
-    return rows.select("node", "sid", "tokens").mapInArrow(run, "node long, sid binary")
+    return rows.select("sid", "comp", "tokens", "node").mapInArrow(run, _BRANCHES)
 
 
 def _nodes(vertices: DataFrame, trees: range, threshold: float, leaf: int, depth: int) -> DataFrame:
-    """(node, sid, n) of the nodes of several documents at which the trees end; n is their number of documents."""
+    """(node, sid, comp, n) of the nodes at which the trees end; n is their number of documents.
+
+    Nodes whose documents are of one component have nothing to find, and go at once.
+    """
     level, ended = _first_level(vertices, trees, threshold), []
     for k in range(depth):
-        rows = level
-        sizes = rows.groupBy(F.col("node").alias("of_node")).agg(F.count("*").alias("n")).where("n > 1")
-        rows = kept(rows.join(sizes, F.col("node") == F.col("of_node")).select("node", "sid", "n"), "nodes")
+        rows = kept(level, "branches")
+        sizes = rows.groupBy(F.col("node").alias("of_node")).agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+        rows = kept(rows.join(sizes, F.col("node") == F.col("of_node")).select("node", "sid", "comp", "n"), "nodes")
         last = k == depth - 1
         ended.append(rows if last else rows.where(F.col("n") <= leaf))
         if last or rows.where(F.col("n") > leaf).isEmpty():
@@ -197,7 +208,7 @@ def _candidates(rows: DataFrame, at_least: float) -> DataFrame:
             n = batch.num_rows
             group = batch.column(0).to_numpy(zero_copy_only=False)
             sids = batch.column(1).to_pylist()
-            comp = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64)[::2]
+            comp = batch.column(2).to_numpy(zero_copy_only=False)
             short = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, WIDTH)
             left, right = [], []
             near = np.arange(n)
@@ -297,16 +308,6 @@ def _confirmed(clusters: DataFrame, vertices: DataFrame, docs: DataFrame, words:
     return rows.repartition("cluster").sortWithinPartitions("cluster").mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``nodes`` with the component of each document so far, without nodes that lie in one component."""
-    if labels is None:
-        return nodes.withColumn("comp", F.col("sid"))
-    rows = nodes.join(labels.withColumnRenamed("vertex", "sid"), "sid", "left")
-    rows = rows.select("node", "sid", "n", F.coalesce("root", "sid").alias("comp"))
-    mixed = rows.groupBy(F.col("node").alias("of_node")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-    return rows.join(mixed.select("of_node"), F.col("node") == F.col("of_node"), "left_semi")
-
-
 def _dealt(nodes: DataFrame, leaf: int, complete: bool) -> DataFrame:
     """(grp, sid, comp): groups of bounded size in which documents are to be compared.
 
@@ -338,7 +339,7 @@ def _dealt(nodes: DataFrame, leaf: int, complete: bool) -> DataFrame:
     return small.unionByName(meets.select(pair.alias("grp"), "sid", "comp")).unionByName(rest.select(among.alias("grp"), "sid", "comp"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 16, first_trees: int = 4, leaf: int = 256, depth: int = 6, slack: float = 0.11) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 16, first_trees: int = 2, leaf: int = 256, depth: int = 6, slack: float = 0.11) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document; text_hash tells rows of one id apart.
 
     Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked. ``slack`` is how far below the
@@ -350,12 +351,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     own = rows.where("doc_id is not null and sid is not null")
     best = F.min(F.struct("doc_id", "tokens", "short")).alias("best")
     vertices = kept(own.groupBy("sid").agg(best).select("sid", "best.*"), "vertices")
-    edges, labels = None, None
+    # Each set is a component of its own at first. A component is told by a hash of its smallest set.
+    labelled, edges = vertices.withColumn("comp", F.xxhash64("sid")), None
     for chosen in (range(first_trees), range(first_trees, trees)):
         if not len(chosen):
             continue
-        nodes = _labelled(_nodes(vertices, chosen, threshold, leaf, depth), labels)
-        dealt = _dealt(nodes if labels is None else kept(nodes, "labelled"), leaf, labels is not None)
+        if edges is not None:
+            found = labels.select(F.col("vertex").alias("sid"), "root")
+            labelled = kept(vertices.join(found, "sid", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "sid"))).drop("root"), "labelled")
+        dealt = _dealt(_nodes(labelled, chosen, threshold, leaf, depth), leaf, edges is not None)
         clusters = kept(_candidates(dealt.join(vertices.select("sid", "short"), "sid"), threshold - slack), "clusters")
         found = _confirmed(clusters, vertices, source, words, percent)
         edges = kept(found if edges is None else found.unionByName(edges), "links")

@@ -152,12 +152,19 @@ def _nodes(vertices: DataFrame, trees: range, threshold: float, leaf: int, depth
         rows = kept(level, "branches")
         sizes = rows.groupBy(F.col("node").alias("of_node")).agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
         rows = kept(rows.join(sizes, F.col("node") == F.col("of_node")).select("node", "sid", "comp", "n"), "nodes")
-        last = k == depth - 1
-        ended.append(rows if last else rows.where(F.col("n") <= leaf))
-        if last or rows.where(F.col("n") > leaf).isEmpty():
+        if k == depth - 1:
+            ended.append(rows)
             break
-        large = rows.where(F.col("n") > leaf).join(vertices.select("sid", "tokens"), "sid")
-        level = _next_level(large, threshold)
+        ended.append(rows.where(F.col("n") <= leaf))
+        large = rows.where(F.col("n") > leaf)
+        if large.isEmpty():
+            break
+        # A large node ends as well if few of its documents are outside its largest component: only they have much to meet.
+        counts = large.groupBy("node", "n", "comp").agg(F.count("*").alias("k"))
+        others = counts.groupBy(F.col("node").alias("of_node")).agg((F.max("n") - F.max("k")).alias("others"))
+        large = kept(large.join(others, F.col("node") == F.col("of_node")).select("node", "sid", "comp", "n", "others"), "large")
+        ended.append(large.where(F.col("others") <= leaf).drop("others"))
+        level = _next_level(large.where(F.col("others") > leaf).join(vertices.select("sid", "tokens"), "sid"), threshold)
     out = ended[0]
     for more in ended[1:]:
         out = out.unionByName(more)
@@ -339,7 +346,7 @@ def _dealt(nodes: DataFrame, leaf: int, complete: bool) -> DataFrame:
     return small.unionByName(meets.select(pair.alias("grp"), "sid", "comp")).unionByName(rest.select(among.alias("grp"), "sid", "comp"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 16, first_trees: int = 2, leaf: int = 256, depth: int = 6, slack: float = 0.11) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 16, first_trees: int = 2, leaf: int = 512, depth: int = 6, slack: float = 0.11) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document; text_hash tells rows of one id apart.
 
     Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked. ``slack`` is how far below the

@@ -14,7 +14,6 @@ ids are kept, ordered by their tokens; an empty table gives no file and no rows;
 from __future__ import annotations
 
 import json
-import re
 import struct
 import zlib
 from array import array
@@ -29,10 +28,9 @@ from pyspark.sql import functions as F
 from txrisk.llm.common import kept, new_path
 from txrisk.llm.files import read_file, write_file
 
-SCALE, LANES, BLOCK, END = 20, 1024, 1 << 18, 0
+SCALE, LANES, BLOCK, END = 20, 2048, 1 << 18, 0
 _LOW = np.uint64(1 << 31)
 _MAGIC = b"TXRANS01"
-_TWO_SPACES = re.compile(r"\s\s")
 # A fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others follow from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
@@ -134,11 +132,16 @@ def decode_file(data: bytes, freq: np.ndarray, symbols: np.ndarray) -> tuple[lis
     return doc_ids, np.frombuffer(index, "<u4", n, 8 * n), np.concatenate(out) if out else symbols[:0]
 
 
+class _Together(Exception):
+    """White space stands next to white space, so a text can't be cut there."""
+
+
 class _Words(dict):
-    """Ids of a piece of text as bytes. A piece is a word with the one white space before it, where no two stand together.
+    """Ids, as bytes, of the words of a text, each with the space before it; line feeds stay at the word after them.
 
-    Byte-level pre-tokenisation always cuts before such a white space, and before the last mark of a word that ends
-    in a letter and one comma or full stop, so pieces have the same ids alone as in their text.
+    Byte-level pre-tokenisation always cuts before a single white space, and before the last mark of a word that ends in a
+    letter and one comma or full stop, so words have the same ids alone as in their text. Words that begin or end with other
+    white space are refused, and their text is coded as a whole.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -150,6 +153,9 @@ class _Words(dict):
         self.kind, self.code = ("<u2", "H") if self.size <= 1 << 16 else ("<u4", "I")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
+        self.without_space: dict[str, bytes] = {}
+        self.line_feed = self.ids("\n")
+        self.marks = {m: self.ids(m) for m in ".,"}
         parts = json.loads(self.tokenizer.to_str())
         pre = parts.get("pre_tokenizer") or {}
         self.by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not parts.get("normalizer")
@@ -158,24 +164,45 @@ class _Words(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def document(self, text: str) -> bytes:
-        if not self.by_word or "\0" in text or _TWO_SPACES.search(text) or any(s in text for s in self.special):
+        if not self.by_word or not text or any(s in text for s in self.special):
+            return self.ids(text)
+        first, *rest = text.replace("\n", " \n").split(" ")
+        try:
+            if not first or first[-1].isspace():
+                return self.ids(text)
+            return b"".join([self.bare(first), *[self[w] for w in rest]])
+        except _Together:
             return self.ids(text)
-        return b"".join([self[p] for p in text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0") if p])
 
-    def __missing__(self, piece: str) -> bytes:
+    def merged(self, piece: str) -> bytes:
+        """Ids of what is one pre-token for sure, so that the merges can start at once."""
+        letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def bare(self, word: str) -> bytes:
+        """Ids of a word without a space before it."""
+        found = self.without_space.get(word)
+        if found is None:
+            found = self.merged(word) if word.isalpha() else self.ids(word)
+            if len(self.without_space) < _CACHE // 4 and len(word) <= 40:
+                self.without_space[word] = found
+        return found
+
+    def __missing__(self, word: str) -> bytes:
         # Composites are not kept, only what they consist of.
-        if len(piece) > 2 and piece[-1] in ".," and piece[-2].isalpha():
-            return self[piece[:-1]] + self[piece[-1]]
-        if len(piece) > 1 and piece[0] == "\n" and piece[1].isalpha():
-            return self[piece[0]] + self[piece[1:]]
-        if piece.isalpha() or piece[0] == " " and piece[1:].isalpha():
-            # One pre-token for sure, so the merges can start at once.
-            letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            found = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
-        else:
-            found = self.ids(piece)
-        if len(self) < _CACHE and len(piece) <= 40:
-            self[piece] = found
+        if not word or word[-1].isspace():
+            raise _Together
+        if word[0] == "\n":
+            if word[1].isspace():
+                raise _Together
+            return self.line_feed + self.bare(word[1:])
+        if word[0].isspace():
+            raise _Together
+        if len(word) > 1 and word[-1] in ".," and word[-2].isalpha():
+            return self[word[:-1]] + self.marks[word[-1]]
+        found = self.merged(f" {word}") if word.isalpha() else self.ids(f" {word}")
+        if len(self) < _CACHE and len(word) <= 40:
+            self[word] = found
         return found
 
 

@@ -6,13 +6,14 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from txrisk.plans.oracle import ORACLE
+from txrisk.plans.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="generated tables not found")
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
 ROWS_ONLY = {"rfm_clusters", "rf_scores", "default_rf_scores", "logistic_scores", "score_batch"}
 TYPES = {
     "string": "VARCHAR",
@@ -43,6 +44,8 @@ def canonical(rows, columns):
 
 def test_names():
     assert set(ORACLE) == set(QUERIES) - ROWS_ONLY
+    # The entry may add those of optional subpackages.
+    assert QUERIES.items() <= driver.queries().items() and ORACLE.items() <= driver.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -60,6 +60,20 @@ def test_requests_keep_their_text(spark, tmp_path):
     assert [r["Amount"] for r in rows] == ["200.5", "abc"]
 
 
+def test_layouts_of_requests(spark, tmp_path):
+    records = [ONE_TX, {**ONE_TX, "Amount": 7, "AccountId": "x } { y"}]
+    layouts = {
+        "compact": json.dumps(records),
+        "pretty": json.dumps(records, indent=2),
+        "lines": "\n".join(map(json.dumps, records)) + "\n",
+    }
+    found = {}
+    for name, text in layouts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+        found[name] = sorted(map(tuple, tables.read_requests(spark, str(tmp_path / f"{name}.json")).collect()))
+    assert found["compact"] == found["pretty"] == found["lines"] and len(found["lines"]) == 2
+
+
 def test_run_log_appends(spark, tmp_path):
     path = str(tmp_path / "runs")
     for run in ("r1", "r2"):

@@ -56,3 +56,10 @@ def test_tiny_classes(spark):
     assert {r["split"] for r in stratified_split(df).collect()} == {"train"}
     folds = {r["CustomerId"]: r["fold"] for r in stratified_folds(df, 3).collect()}
     assert len(folds) == 3
+
+
+def test_many_classes(spark):
+    df = spark.range(10_000).selectExpr("cast(id as string) as CustomerId", "cast(id % 5000 as int) as label")
+    out = stratified_split(df, label="label", test_share=0.5)
+    assert out.groupBy("label").agg({"split": "count"}).count() == 5000
+    assert out.where("split = 'test'").groupBy("label").count().where("count = 1").count() == 5000

@@ -83,3 +83,18 @@ def test_required_columns(spark):
     assert require_columns(df) is df
     with pytest.raises(ValueError, match=r"\['Amount', 'AccountId'\]"):
         require_columns(df.drop("AccountId", "Amount"))
+
+
+def test_no_row_is_lost(make_tx):
+    df = make_tx({}, {"Amount": None}, {}, {}).withColumn("request", F.element_at(F.array(F.lit("a"), F.lit("a"), F.lit("b"), F.lit(None)), F.substring("TransactionId", 2, 1).cast("int") + 1))
+    valid = split_valid(with_errors(df), "request")
+    assert [r["request"] for r in valid.accepted.collect()] == ["b"]
+    rejected = {(r["request"], tuple(r["errors"])) for r in valid.rejected.collect()}
+    assert rejected == {("a", ()), ("a", ("Amount: missing",)), (None, ("request: missing",))}
+
+
+def test_raw_values_and_fractions(spark, make_tx):
+    df = make_tx({}).withColumn("Amount", F.lit("abc")).withColumn("ChannelId", F.lit(1.9))
+    row = with_errors(df).first()
+    assert row["raw"] == {"Amount": "abc", "ChannelId": "1.9"} and len(row["errors"]) == 2
+    assert with_errors(make_tx({}).withColumn("ChannelId", F.lit(2.0))).first()["ChannelId"] == 2

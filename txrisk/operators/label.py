@@ -14,11 +14,11 @@ from txrisk.schema import CUSTOMER, RFM_COLUMNS
 
 
 def fit_rfm_clusters(
-    features: DataFrame, columns: Sequence[str] = tuple(RFM_COLUMNS), k: int = 3, seed: int = 42
+    features: DataFrame, columns: Sequence[str] = tuple(RFM_COLUMNS), k: int = 3, seed: int = 42, iterations: int = 300
 ) -> KMeansModel:
-    """k-means on the scaled RFM columns (iterative: pass a materialised frame)."""
+    """k-means on the scaled RFM columns (iterative: pass a materialised frame); ends before ``iterations`` if it converges."""
     vectors = feature_vector(features.select(*(named(c) for c in columns)), columns)
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
+    return KMeans(k=k, seed=seed, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(vectors)
 
 
 def centres_of(model: KMeansModel) -> list[list[float]]:

@@ -18,10 +18,10 @@ METRIC_NAMES = ["accuracy", "precision", "recall", "f1", "roc_auc"]
 def classification_metrics(scored: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """``(n, accuracy, precision, recall, f1)``; a row is positive when its score is above ``threshold``.
 
-    Precision, recall and F1 are 0 where their denominator is.
+    Precision, recall and F1 are 0 where their denominator is. Rows whose score is null or NaN are left out.
     """
     positive, predicted = named(label) == 1, named(score) > threshold
-    counts = scored.where(named(label).isNotNull() & named(score).isNotNull()).agg(
+    counts = scored.where(named(label).isNotNull() & named(score).isNotNull() & ~F.isnan(named(score).cast("double"))).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(positive & predicted).alias("tp"),
         F.count_if(~positive & predicted).alias("fp"),
@@ -47,9 +47,9 @@ def roc_auc(scored: DataFrame, label: str, score: str, ranges: int = 512) -> Dat
     Works on class counts per distinct score. A running count over all scores would be one task, so the distinct scores
     are cut into ``ranges`` ranges of about equal size (their bounds come from one quantile sketch, which runs a job);
     counts run inside each range and the totals of the ranges before, at most ``ranges`` rows, are added. The bounds
-    only balance the work: any bounds give the same area.
+    only balance the work: any bounds give the same area. Rows whose score is null or NaN are left out.
     """
-    known = scored.where(named(label).isNotNull() & named(score).isNotNull())
+    known = scored.where(named(label).isNotNull() & named(score).isNotNull() & ~F.isnan(named(score).cast("double")))
     per_score = materialise(
         known.groupBy(named(score).cast("double").alias("score")).agg(
             F.count_if(named(label) == 1).alias("pos"), F.count_if(named(label) != 1).alias("neg")

@@ -82,8 +82,9 @@ def value_counts(df: DataFrame, columns: Sequence[str], ordered: bool = True) ->
 def class_balance(df: DataFrame, column: str) -> DataFrame:
     """``(<column>, n, share)`` over the known values."""
     known = df.where(named(column).isNotNull())
-    total = known.agg(F.count(F.lit(1))).scalar()
-    return known.groupBy(column).agg(F.count(F.lit(1)).alias("n")).withColumn("share", F.col("n") / total)
+    counts = known.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    # One row per class: their total needs no second scan.
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))))
 
 
 def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
@@ -93,8 +94,8 @@ def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
 
 
 def filter_top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
-    """The rows of ``df`` whose value is among the ``n`` most frequent ones; the broadcast side has at most ``n`` rows."""
-    return df.join(F.broadcast(top_values(df, column, n).select(column)), column, "left_semi")
+    """The rows of ``df`` whose value is among the ``n`` most frequent ones."""
+    return df.join(top_values(df, column, n).select(column), column, "left_semi")
 
 
 def _bounds(long: DataFrame) -> DataFrame:
@@ -108,37 +109,53 @@ def _bounds(long: DataFrame) -> DataFrame:
     )
 
 
+def _finite(value: Column) -> Column:
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+
+
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
-    """``(column, bin, lower, upper, n)``: equal bins over [min, max], the last one closed, empty ones kept."""
-    long = to_long(df, [], columns, "column").where(F.col("value").isNotNull())
+    """``(column, bin, lower, upper, n)``: equal bins over [min, max], the last one closed, empty ones kept.
+
+    Every value lies in ``lower <= value < upper`` as they are given. Values that aren't finite are left out.
+    """
+    long = to_long(df, [], columns, "column").where(_finite(F.col("value")))
     bounds = _bounds(long)
-    cell = F.floor(F.lit(bins) * (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo"))) + 1
+    width = (F.col("hi") - F.col("lo")) / F.lit(bins)
+
+    def edge(number: Column) -> Column:
+        return F.when(number == bins, F.col("hi")).otherwise(F.col("lo") + number * width)
+
+    # Rounding can put a value on an edge beside its bin by one.
+    near = F.greatest(F.lit(0), F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1)))
+    moved = near + F.when(F.col("value") < edge(near), -1).when((F.col("value") >= edge(near + 1)) & (near < bins - 1), 1).otherwise(0)
     # One row per column is broadcast; the counts are at most ``bins`` rows per column.
-    binned = long.join(F.broadcast(bounds), "column").withColumn("bin", F.least(cell, F.lit(bins)).cast("int"))
+    binned = long.join(F.broadcast(bounds), "column").withColumn("bin", (moved + 1).cast("int"))
     counts = binned.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
     grid = bounds.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
-    width = (F.col("hi") - F.col("lo")) / F.lit(bins)
     return grid.join(counts, ["column", "bin"], "left").select(
         "column",
         "bin",
-        (F.col("lo") + (F.col("bin") - 1) * width).alias("lower"),
-        (F.col("lo") + F.col("bin") * width).alias("upper"),
+        edge(F.col("bin") - 1).alias("lower"),
+        edge(F.col("bin")).alias("upper"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
-# Fine cells per bandwidth and reach of the kernel in bandwidths: beyond it the kernel is below 1e-17 of its peak.
+# Cells per bandwidth, and terms of the kernel's expansion about the middle of a cell: together they leave an error far below
+# 1e-12 of the peak. Beyond this reach, in bandwidths, the kernel is 0 in double precision.
 _CELLS_PER_BANDWIDTH = 16
-_REACH = 9.0
+_TERMS = 10
+_REACH = 39.0
 
 
 def density_curve(df: DataFrame, columns: Sequence[str], points: int = 200) -> DataFrame:
     """``(column, point, x, density)``: Gaussian kernel density with Scott's bandwidth, on an even grid over [min, max].
 
-    Values are first counted in cells a sixteenth of a bandwidth wide, each standing for the mean of its values; every
-    cell then touches only the grid points within reach. So the kernel work depends on the range, not on the row count.
+    Values are counted in cells a sixteenth of a bandwidth wide, which keep the first moments of their values. The kernel at
+    a grid point is expanded in Hermite polynomials about the middle of each cell, so the sum is that over all values,
+    while the kernel work depends on the range, not on the row count. Values that aren't finite are left out.
     """
-    long = to_long(df, [], columns, "column").where(F.col("value").isNotNull())
+    long = to_long(df, [], columns, "column").where(_finite(F.col("value")))
     stats = long.groupBy("column").agg(
         F.min("value").alias("lo"),
         F.max("value").alias("hi"),
@@ -147,23 +164,27 @@ def density_curve(df: DataFrame, columns: Sequence[str], points: int = 200) -> D
     )
     # A density needs spread; columns without it give no rows. One row per column is broadcast.
     stats = stats.where(F.col("h") > 0).withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(points - 1))
-    cell = F.floor((F.col("value") - F.col("lo")) / (F.col("h") / _CELLS_PER_BANDWIDTH))
-    cells = (
-        long.join(F.broadcast(stats), "column")
-        .groupBy("column", cell.alias("cell"))
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("at"))
-    )
-    offset = F.col("at") - F.col("lo")
+    width = F.col("h") / _CELLS_PER_BANDWIDTH
+    placed = long.join(F.broadcast(stats), "column").withColumn("cell", F.floor((F.col("value") - F.col("lo")) / width))
+    off = (F.col("value") - F.col("lo") - (F.col("cell") + 0.5) * width) / F.col("h")
+    moments = [F.sum(F.pow(off, F.lit(float(k)))).alias(f"m{k}") for k in range(_TERMS)]
+    cells = placed.groupBy("column", "cell").agg(*moments)
+    middle = (F.col("cell") + 0.5) * width
     reach = F.lit(_REACH) * F.col("h")
-    first = F.greatest(F.lit(0), F.ceil((offset - reach) / F.col("step")))
-    last = F.least(F.lit(points - 1), F.floor((offset + reach) / F.col("step")))
+    first = F.greatest(F.lit(0), F.ceil((middle - reach) / F.col("step")))
+    last = F.least(F.lit(points - 1), F.floor((middle + reach) / F.col("step")))
     touched = (
         cells.join(F.broadcast(stats), "column")
         .where(first <= last)
         .withColumn("point", F.explode(F.sequence(first, last)))
+        .withColumn("t", (F.col("point") * F.col("step") - middle) / F.col("h"))
     )
-    distance = (F.col("lo") + F.col("point") * F.col("step") - F.col("at")) / F.col("h")
-    sums = touched.groupBy("column", "point").agg(F.sum(F.col("n") * F.exp(-distance * distance / 2)).alias("mass"))
+    # He(0) = 1, He(1) = t, He(k + 1) = t He(k) - k He(k - 1).
+    for k in range(_TERMS):
+        term = F.lit(1.0) if k == 0 else F.col("t") if k == 1 else F.col("t") * F.col(f"he{k - 1}") - (k - 1) * F.col(f"he{k - 2}")
+        touched = touched.withColumn(f"he{k}", term)
+    series = sum((F.col(f"he{k}") * F.col(f"m{k}") / math.factorial(k) for k in range(1, _TERMS)), F.col("m0"))
+    sums = touched.groupBy("column", "point").agg(F.sum(F.exp(-F.col("t") * F.col("t") / 2) * series).alias("mass"))
     grid = stats.withColumn("point", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))))
     return grid.join(sums, ["column", "point"], "left").select(
         "column",
@@ -176,8 +197,8 @@ def density_curve(df: DataFrame, columns: Sequence[str], points: int = 200) -> D
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, q1, median, q3, whisker_low, whisker_high, outliers)``.
 
-    Whiskers reach the furthest values within 1.5 interquartile ranges of the box; values beyond are outliers. The
-    quartiles run jobs.
+    Whiskers reach the furthest values within 1.5 interquartile ranges of the box, and end at the box where there is none
+    outside it; values beyond are outliers. The quartiles run jobs.
     """
     quartiles = exact_quantiles(df, columns, QUARTILES)
     q1, median, q3 = (_constant(quartiles, i) for i in range(3))
@@ -191,7 +212,7 @@ def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
             F.count_if(~inside).alias("outliers"),
         )
-        .select("column", q1.alias("q1"), median.alias("median"), q3.alias("q3"), "whisker_low", "whisker_high", "outliers")
+        .select("column", q1.alias("q1"), median.alias("median"), q3.alias("q3"), F.least("whisker_low", q1).alias("whisker_low"), F.greatest("whisker_high", q3).alias("whisker_high"), "outliers")
     )
 
 

@@ -84,7 +84,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     def interpolate(column: str, i: int, share: float) -> float:
         low, high = found[column, 2 * i], found[column, 2 * i + 1]
         position = last[column] * share
-        return low + (high - low) * (position - math.floor(position))
+        # Infinite neighbours have no difference.
+        return low if low == high else low + (high - low) * (position - math.floor(position))
 
     return {c: [interpolate(c, i, float(p)) for i, p in enumerate(shares)] for c in last}
 

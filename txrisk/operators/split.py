@@ -2,14 +2,12 @@
 
 Rows are ranked inside their class by a hash of their key. The rank itself is never computed: per class, the hash at each
 wanted rank is found (counts per hash prefix, then a look inside the one prefix that holds the rank), and every row is
-compared with those few hashes. No shuffle of the data, no join, no task that holds a class.
+compared with those few hashes, which are joined by class. No task holds a class, and no class is gathered on the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,18 +16,16 @@ from txrisk.functions.columns import named
 from txrisk.schema import CUSTOMER
 
 _PREFIX = 4  # hex digits: 65,536 prefixes per class at most, even by construction of the hash
-MAX_CLASSES = 1000
 
 
 def key_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat(named(key).cast("string"), F.lit(f":{seed}")))
 
 
-def stratum_cuts(df: DataFrame, label: str, key: str, shares: Sequence[float], seed: int) -> dict[object, list[str]]:
-    """Per class, the hash of the row at rank ``round(share * rows)`` for each of ``shares``.
+def stratum_cuts(df: DataFrame, label: str, key: str, shares: Sequence[float], seed: int) -> DataFrame:
+    """``(_label, _cuts)``: per class, the hash of the row at rank ``round(share * rows)`` for each of ``shares``.
 
-    A share that rounds to no row has the empty string, which no hash is below. Runs two jobs; one row per class and share
-    reaches the driver, and more than ``MAX_CLASSES`` classes are refused.
+    A share that rounds to no row has the empty string, which no hash is below; a class without any cut has no row.
     """
     hashed = df.where(named(label).isNotNull()).select(named(label).alias("_label"), key_hash(key, seed).alias("_hash"))
     hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, _PREFIX))
@@ -49,27 +45,15 @@ def stratum_cuts(df: DataFrame, label: str, key: str, shares: Sequence[float], s
     )
     holds = F.filter(wanted, lambda w: (w["rank"] > F.col("_end") - F.col("_n")) & (w["rank"] <= F.col("_end")))
     spots = counts.select("_label", "_prefix", (F.col("_end") - F.col("_n")).alias("_before"), F.explode(holds).alias("_w"))
-    most = MAX_CLASSES * len(shares)
-    spot_rows = spots.limit(most + 1).collect()
-    if len(spot_rows) > most:
-        raise ValueError(f"More than {MAX_CLASSES} classes in {label!r}")
-    places = {(r["_label"], r["_prefix"], r["_w"]["rank"] - r["_before"]): [] for r in spot_rows}
-    for r in spot_rows:
-        places[r["_label"], r["_prefix"], r["_w"]["rank"] - r["_before"]].append(r["_w"]["id"])
-    cuts: dict[object, list[str]] = {r["_label"]: [""] * len(shares) for r in spot_rows}
-    if not places:
-        return cuts
-    at_prefix = reduce(
-        or_, ((F.col("_label") == F.lit(la)) & (F.col("_prefix") == pre) for la, pre in {(p[0], p[1]) for p in places})
-    )
-    at_row = reduce(
-        or_, ((F.col("_label") == F.lit(la)) & (F.col("_prefix") == pre) & (F.col("_row") == n) for la, pre, n in places)
-    )
+    spots = spots.select("_label", "_prefix", (F.col("_w.rank") - F.col("_before")).alias("_row"), F.col("_w.id").alias("_id"))
+    # Only the prefixes that hold a wanted rank are ranked, each by itself.
     order = Window.partitionBy("_label", "_prefix").orderBy("_hash")
-    for r in hashed.where(at_prefix).withColumn("_row", F.row_number().over(order)).where(at_row).collect():
-        for i in places[r["_label"], r["_prefix"], r["_row"]]:
-            cuts[r["_label"]][i] = r["_hash"]
-    return cuts
+    near = hashed.join(spots.select("_label", "_prefix").distinct(), ["_label", "_prefix"])
+    near = near.withColumn("_row", F.row_number().over(order))
+    found = near.join(spots, ["_label", "_prefix", "_row"]).groupBy("_label").agg(F.collect_list(F.struct("_id", "_hash")).alias("_found"))
+    by_id = F.map_from_entries("_found")
+    cut = [F.coalesce(by_id[i], F.lit("")) for i in range(len(shares))]
+    return found.select("_label", F.array(*cut).alias("_cuts"))
 
 
 def stratified_bands(
@@ -77,15 +61,14 @@ def stratified_bands(
 ) -> DataFrame:
     """Add the number of ``shares`` (ascending, cumulative) each row lies beyond; rows without a label are dropped.
 
-    Finding the cuts runs jobs (pass a materialised frame); adding the band is a projection.
+    The cuts, one row per class, are joined; a class that owns most rows makes no shuffle where Spark broadcasts them and is split as
+    a skewed key where it doesn't.
     """
     cuts = stratum_cuts(df, label, key, shares, seed)
-    mine = [
-        F.coalesce(*(F.when(named(label) == F.lit(la), F.lit(c[i])) for la, c in cuts.items()), F.lit(""))
-        for i in range(len(shares))
-    ]
-    beyond = [(cut < key_hash(key, seed)).cast("int") for cut in mine]
-    return df.where(named(label).isNotNull()).withColumn(output, reduce(lambda a, b: a + b, beyond))
+    rows = df.where(named(label).isNotNull()).join(cuts, named(label) == F.col("_label"), "left")
+    beyond = F.size(F.filter(F.coalesce("_cuts", F.array(*[F.lit("")] * len(shares))), lambda c: c < F.col("_own")))
+    rows = rows.withColumn("_own", key_hash(key, seed)).withColumn(output, beyond)
+    return rows.drop("_label", "_cuts", "_own")
 
 
 def stratified_split(

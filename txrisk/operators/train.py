@@ -52,7 +52,10 @@ def logistic_regression(rows: int, max_iter: int = 1000, c: float = 1.0) -> Logi
     )
 
 
-def random_forest(trees: int = 100, max_depth: int = 10, seed: int = 42, min_instances: int = 1) -> RandomForestClassifier:
+def random_forest(
+    trees: int = 100, max_depth: int = 10, seed: int = 42, min_instances: int = 1, max_bins: int = 32
+) -> RandomForestClassifier:
+    """``max_bins`` - 1 thresholds at most are tried per continuous feature; more cost time and memory in proportion."""
     return RandomForestClassifier(
         featuresCol="features",
         labelCol=LABEL,
@@ -60,6 +63,7 @@ def random_forest(trees: int = 100, max_depth: int = 10, seed: int = 42, min_ins
         maxDepth=max_depth,
         featureSubsetStrategy="sqrt",
         minInstancesPerNode=min_instances,
+        maxBins=max_bins,
         seed=seed,
     )
 

@@ -262,32 +262,35 @@ ORACLE: dict[str, str] = {
          from tx where FraudResult is not null group by 1""",
     "top_products": _with(TX)
     + """select ProductId, count(*) as n from tx where ProductId is not null group by 1 order by 2 desc, 1 limit 10""",
+    # Edges first, then every value by comparison with them.
     "histogram": _with(TX, _MONEY)
     + """, ends as (select "column", min(v) as lo, max(v) as hi from money group by 1),
-         counts as (select m."column", least(cast(floor(50 * (v - lo) / (hi - lo)) as integer) + 1, 50) as bin, count(*) as n
-                    from money m join ends e on m."column" = e."column" where v is not null group by 1, 2)
-         select e."column", cast(b.bin as integer) as bin, round(lo + (b.bin - 1) * ((hi - lo) / 50), 6) as lower,
-           round(lo + b.bin * ((hi - lo) / 50), 6) as upper, coalesce(n, 0) as n
-         from ends e cross join (select unnest(range(1, 51)) as bin) b
-         left join counts c on c."column" = e."column" and c.bin = b.bin""",
+         edges as (select "column", bin, lo + (bin - 1) * ((hi - lo) / 50) as lower,
+                     case when bin = 50 then hi else lo + bin * ((hi - lo) / 50) end as upper
+                   from ends cross join (select unnest(range(1, 51)) as bin) b)
+         select e."column", cast(bin as integer) as bin, round(lower, 6) as lower, round(upper, 6) as upper, count(v) as n
+         from edges e left join money m on m."column" = e."column" and v >= lower and (v < upper or bin = 50)
+         group by e."column", bin, lower, upper""",
+    # The kernel summed over all values.
     "density_curve": _with(TX, _MONEY)
     + f""", s as (select "column", min(v) as lo, max(v) as hi, count(v) as total,
                    stddev_samp(v) * power(count(v), -0.2) as h from money group by 1),
-         cells as (select m."column", floor((v - lo) / (h / 16)) as cell, count(*) as n, avg(v) as mid
-                   from money m join s on m."column" = s."column" where v is not null group by 1, 2),
          grid as (select "column", point, lo + point * ((hi - lo) / 199) as x, total, h
-                  from s cross join (select unnest(range(0, 200)) as point) p)
+                  from s cross join (select unnest(range(0, 200)) as point) p),
+         seen as (select "column", v, count(*) as n from money where v is not null group by all)
          select g."column", cast(g.point as integer) as point, {_round("g.x", 8)} as x,
-           round(sum(n * exp(-power((x - mid) / h, 2) / 2)) / (any_value(total) * any_value(h) * sqrt(2 * pi())), 8) as density
-         from grid g join cells c on c."column" = g."column" group by g."column", g.point, g.x""",
+           round(sum(n * exp(-power((x - v) / h, 2) / 2)) / (any_value(total) * any_value(h) * sqrt(2 * pi())), 8) as density
+         from grid g join seen c on c."column" = g."column" group by g."column", g.point, g.x""",
+    # A whisker ends at the furthest value that its fence leaves in, unless that lies inside the box.
     "box_stats": _with(TX, _MONEY)
     + """, q as (select "column", quantile_cont(v, 0.25) as q1, quantile_cont(v, 0.5) as median, quantile_cont(v, 0.75) as q3
-                 from money group by 1)
-         select m."column", round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3,
-           round(min(v) filter (v between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1)), 6) as whisker_low,
-           round(max(v) filter (v between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1)), 6) as whisker_high,
-           count(*) filter (not v between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1)) as outliers
-         from money m join q on m."column" = q."column" where v is not null group by m."column", q1, median, q3""",
+                 from money group by 1),
+         fences as (select *, q1 - 1.5 * (q3 - q1) as low, q3 + 1.5 * (q3 - q1) as high from q)
+         select f."column", round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3,
+           round(coalesce((select min(v) from money m where m."column" = f."column" and v >= low having min(v) <= f.q1), q1), 6) as whisker_low,
+           round(coalesce((select max(v) from money m where m."column" = f."column" and v <= high having max(v) >= f.q3), q3), 6) as whisker_high,
+           (select count(*) from money m where m."column" = f."column" and (v < low or v > high)) as outliers
+         from fences f""",
     "distinct_pairs": _with(TX)
     + """select 'AccountId-CustomerId' as pair, count(*) as n from (select distinct AccountId, CustomerId from tx)
          union all select 'AccountId-SubscriptionId', count(*) from (select distinct AccountId, SubscriptionId from tx)""",

@@ -47,6 +47,7 @@ REQUEST_COLUMNS = [
 REQUEST_SCHEMA = T.StructType([TX_SCHEMA[name] for name in REQUEST_COLUMNS])
 
 # Requests are read as text so that validation can tell "missing" from "not a number".
+# Column and feature names are the data contract.
 REQUEST_TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in REQUEST_COLUMNS])
 
 LABEL_SCHEMA = T.StructType(

@@ -90,8 +90,28 @@ def read_transactions(
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """Scoring requests from JSON (one array or one record per file line), all fields as text, for validation."""
-    return spark.read.schema(REQUEST_TEXT_SCHEMA).json(path)
+    """Scoring requests from JSON, all fields as text, for validation.
+
+    A file is one array, laid out in any way, or one record; or one record or array per line.
+    """
+    return parse_requests(spark.read.text(path, wholetext=True)).select("request.*")
+
+
+def parse_requests(files: DataFrame) -> DataFrame:
+    """``request`` for every record in ``value``, the text of a whole request file; other columns stay.
+
+    A file that doesn't parse as a whole is read by line; a line that doesn't parse is a record without values.
+    """
+    records = T.ArrayType(REQUEST_TEXT_SCHEMA)
+    options = {"mode": "PERMISSIVE"}
+    others = [c for c in files.columns if c != "value"]
+    text = F.trim(F.regexp_replace("value", r"^\uFEFF", ""))
+    # A line that closes a record and one that opens the next mean a record per line.
+    by_line = text.rlike(r"[}\]][ \t\r]*\n\s*[{\[]")
+    parts = F.when(by_line, F.filter(F.split(text, r"\r?\n"), lambda x: F.trim(x) != "")).otherwise(F.array(text))
+    parts = files.where(text != "").select(*others, F.explode(parts).alias("part"))
+    found = F.coalesce(F.from_json("part", records, options), F.array(F.lit(None).cast(REQUEST_TEXT_SCHEMA)))
+    return parts.select(*others, F.explode(found).alias("request"))
 
 
 def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -8,18 +8,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.operators.validate import split_valid, with_errors
 from txrisk.plans.scoring import score
-from txrisk.schema import CUSTOMER, REQUEST_COLUMNS, REQUEST_TEXT_SCHEMA
+from txrisk.schema import CUSTOMER, REQUEST_COLUMNS
 from txrisk.sources.artifacts import Artifacts
+from txrisk.sources.tables import parse_requests
 
 REQUEST = "RequestId"
 
 
 def read_request_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """JSON request files as a stream of text rows, each with the file it came from as its request id."""
-    reader = spark.readStream.schema(REQUEST_TEXT_SCHEMA)
+    reader = spark.readStream.format("text").option("wholetext", True)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path).select("*", F.col("_metadata.file_path").alias(REQUEST))
+    files = reader.load(path).select("value", F.col("_metadata.file_path").alias(REQUEST))
+    return parse_requests(files).select("request.*", REQUEST)
 
 
 def score_stream(

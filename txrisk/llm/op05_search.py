@@ -2,8 +2,8 @@
 
 Every partition of the documents becomes a shard: an index file with the postings of its documents in order of term, and the bounds
 of blocks of ``BLOCK`` documents within them. Statistics (number and mean length of documents, documents per term) are global. A query
-weighs its terms, adds up the greatest impacts of its terms in each block, and takes blocks from the greatest bound down; it stops at the first whose
-bound is below the k-th best score so far. The best k of all shards are merged; as weights are global, the result is exact.
+weighs its terms, adds up the greatest impacts of its terms in each block, and takes blocks from the greatest bound down, in
+portions; it stops at the first whose bound is below the k-th best score so far. The best k of all shards are merged; as weights are global, the result is exact.
 
 At scale: postings are never shuffled, only (term, documents) counts of each shard and the best k of each query and shard. A task
 holds a shard and a block of ``query_rows`` queries. Queries from the corpus grow with it, so the work of that use grows with
@@ -87,18 +87,25 @@ class Shard:
         by_block = np.argsort(self.run_block[runs], kind="stable")
         runs, weight = runs[by_block], weight[by_block]
         cut = np.searchsorted(self.run_block[runs], np.arange(self.blocks + 1))
-        found: list[tuple[float, int]] = []
-        for b in order.tolist():
-            if len(found) == k and bound[b] < -found[-1][0] or not bound[b]:
-                break
-            own = runs[cut[b] : cut[b + 1]]
-            size = self.run_at[own + 1] - self.run_at[own]
-            post = np.repeat(self.run_at[own] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
-            score = np.bincount(self.doc[post] - b * BLOCK, np.repeat(weight[cut[b] : cut[b + 1]], size) * self.impact[post])
-            low = -found[-1][0] if len(found) == k else 0.0
-            some = np.flatnonzero((score >= low) & (score > 0))
-            found = sorted([*found, *zip((-score[some]).tolist(), self.ids[b * BLOCK + some].tolist(), strict=True)])[:k]
-        return [(-s, i) for s, i in found]
+        # Blocks in growing portions: few while the k-th best score is still low, many at once when most are ruled out.
+        scores, ids, least, at, portion = np.zeros(0), np.zeros(0, np.int64), 0.0, 0, 4
+        order = order[bound[order] > 0]
+        while at < len(order) and bound[order[at]] >= least:
+            chosen = order[at : at + portion]
+            chosen = np.sort(chosen[bound[chosen] >= least])
+            at, portion = at + portion, portion * 4
+            lo, hi = cut[chosen], cut[chosen + 1]
+            own = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(int((hi - lo).sum()))
+            first = self.run_at[runs[own]]
+            size = self.run_at[runs[own] + 1] - first
+            post = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
+            score = np.bincount(self.doc[post], np.repeat(weight[own], size) * self.impact[post])
+            some = np.flatnonzero((score >= least) & (score > 0))
+            scores, ids = np.concatenate([scores, score[some]]), np.concatenate([ids, self.ids[some]])
+            best = np.lexsort((ids, -scores))[:k]
+            scores, ids = scores[best], ids[best]
+            least = float(scores[-1]) if len(scores) == k else 0.0
+        return list(zip(scores.tolist(), ids.tolist(), strict=True))
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, query_rows: int = 512) -> DataFrame:
@@ -149,9 +156,15 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, query_rows: int = 5
                 yield pa.RecordBatch.from_pydict({"asked": [path]})
 
     blocks = kept(asked.coalesce(max(1, spark.sparkContext.defaultParallelism)).mapInArrow(save, "asked string"), "queries")
-    # Every block of queries meets every shard: a list of two file names each, made from the list of blocks.
-    lists = blocks.agg(F.collect_list("asked").alias("asked"))
-    pairs = shards.select("path").join(F.broadcast(lists), F.lit(True)).select("path", F.explode("asked").alias("asked"))
+    # Every block of queries meets every shard, as two file names. There is one name for ``query_rows`` queries.
+    names = spark.sparkContext.broadcast([r.asked for r in blocks.collect()])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(names.value), pa.string()), "asked": pa.array(names.value, pa.string())})
+
+    pairs = shards.select("path").mapInArrow(meet, "path string, asked string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded: tuple[str, Shard] | None = None

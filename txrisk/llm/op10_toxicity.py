@@ -147,13 +147,14 @@ def _rows_of(sample: DataFrame, features: list[str]) -> list[tuple[list[int], bo
 def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of class 1 for each row of ``votes`` (1 toxic, -1 clean, 0 none; a column per voter), and the voters' weights.
 
-    Expectation maximisation of P(vote | class), from the rows that ``start`` takes for toxic. Between two passes, the correlation of each two voters within the classes is
-    estimated; a voter's weight is one over the sum of its correlations, itself included.
+    Expectation maximisation of P(vote | class), from the rows that ``start`` takes for toxic, twice: the correlations of
+    voters within the classes, which set their weights, are estimated at the start and again after the first pass.
     """
     kinds = (-1, 0, 1)
     hits = np.stack([votes == k for k in kinds]).astype(np.float64)  # kind, row, voter
-    weights = np.ones(votes.shape[1])
+    post = np.asarray(start, np.float64)  # in full: a mixture of the classes would show as correlation
     for _ in range(2):
+        weights = _weights(votes, post)
         post = np.where(start, 0.9, 0.1)
         for _ in range(rounds):
             both = np.stack([1 - post, post])  # class, row
@@ -167,16 +168,21 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 50) -> tuple
             post = new
             if done:
                 break
-        total = np.zeros((votes.shape[1],) * 2)
-        for c in (0, 1):
-            w = np.stack([1 - post, post])[c]
-            centred = votes - (w @ votes) / max(w.sum(), 1e-9)
-            total += (centred * w[:, None]).T @ centred
-        scale = np.sqrt(np.maximum(np.diag(total), 1e-9))
-        weights = 1 / np.clip(np.abs(total / scale / scale[:, None]) - 0.1, 0, 1).sum(1).clip(0.9)
     return post, weights
 
 
+def _weights(votes: np.ndarray, post: np.ndarray) -> np.ndarray:
+    """One over the sum of a voter's correlations with all voters inside the classes; below 0.1 they count as chance."""
+    total = np.zeros((votes.shape[1],) * 2)
+    for w in (1 - post, post):
+        centred = votes - (w @ votes) / max(w.sum(), 1e-9)
+        total += (centred * w[:, None]).T @ centred
+    scale = np.sqrt(np.maximum(np.diag(total), 1e-9))
+    shared = np.clip(np.abs(total / scale / scale[:, None]) - 0.1, 0, 1)
+    np.fill_diagonal(shared, 1)
+    return 1 / shared.sum(1)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.05, rounds: int = 30) -> np.ndarray:
     """Weights (the last is the bias) for soft labels ``y``, by Newton steps with a ridge."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)

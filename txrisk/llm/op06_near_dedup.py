@@ -203,6 +203,13 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
+def _joined(root: np.ndarray, left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """``root`` after the links between ``left`` and ``right`` have joined its components."""
+    if not left:
+        return root
+    return _roots(len(root), root[np.concatenate(left)], root[np.concatenate(right)])[root]
+
+
 def _candidates(rows: DataFrame, at_least: float) -> DataFrame:
     """(cluster, sid) of documents in one group whose tokens agree enough; linear in the documents.
 
@@ -217,26 +224,30 @@ def _candidates(rows: DataFrame, at_least: float) -> DataFrame:
             sids = batch.column(1).to_pylist()
             comp = batch.column(2).to_numpy(zero_copy_only=False)
             short = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, WIDTH)
-            left, right = [], []
-            near = np.arange(n)
+            near, root = np.arange(n), np.arange(n)
+            left, right, waiting = [], [], 0
             for d in range(1, n):
                 # Groups are contiguous: rows whose group ended stay out.
                 near = near[near < n - d]
                 near = near[group[near] == group[near + d]]
                 if not len(near):
                     break
-                i = near[comp[near] != comp[near + d]]
+                # Within a cluster another pair adds nothing.
+                i = near[(comp[near] != comp[near + d]) & (root[near] != root[near + d])]
                 for part in np.array_split(i, len(i) // 20_000 + 1):
                     like = part[(short[part] == short[part + d]).sum(1) >= needed]
                     left.append(like)
                     right.append(like + d)
-            if not left:
-                continue
-            a, b = np.concatenate(left), np.concatenate(right)
-            if not len(a):
+                    waiting += len(like)
+                # Pairs are joined soon, so a group of near copies never holds more than a few for each document.
+                if waiting > n:
+                    root = _joined(root, left, right)
+                    left, right, waiting = [], [], 0
+            root = _joined(root, left, right)
+            size = np.bincount(root, minlength=n)
+            members = np.flatnonzero(size[root] > 1)
+            if not len(members):
                 continue
-            root = _roots(n, a, b)
-            members = np.unique(np.concatenate([a, b]))
             names: dict[int, list[int]] = {}
             for m in members.tolist():
                 names.setdefault(int(root[m]), []).append(m)

@@ -14,7 +14,6 @@ duckdb = pytest.importorskip("duckdb")
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="generated tables not found")
 
-ROWS_ONLY = {"rfm_clusters", "rf_scores", "default_rf_scores", "logistic_scores", "score_batch"}
 TYPES = {
     "string": "VARCHAR",
     "bigint": "BIGINT",
@@ -43,7 +42,7 @@ def canonical(rows, columns):
 
 
 def test_names():
-    assert set(ORACLE) == set(QUERIES) - ROWS_ONLY
+    assert set(ORACLE) == set(QUERIES)
     # The entry may add those of optional subpackages.
     assert QUERIES.items() <= driver.queries().items() and ORACLE.items() <= driver.oracle_sql().items()
 
@@ -60,14 +59,6 @@ def test_equals_sql(spark, duck, name):
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
 
 
-@pytest.mark.parametrize("name", ["rfm_clusters", "logistic_scores", "score_batch"])
-def test_rows_only(spark, name):
-    rows = QUERIES[name](spark, SF_DIR).collect()
-    assert len(rows) == len({r["CustomerId"] for r in rows}) > 0
-    if "risk_probability" in rows[0].asDict():
-        assert all(0 <= r["risk_probability"] <= 1 for r in rows)
-
-
 def test_entry(spark):
     df = driver.entry(spark)
     assert df.columns[0] == "CustomerId" and df.count() > 0

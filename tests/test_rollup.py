@@ -9,7 +9,7 @@ from txrisk.functions.columns import nan_to_null
 from txrisk.operators.rollup import customer_features, reference_date
 from txrisk.schema import FEATURE_SCHEMA, TX_SCHEMA
 
-REF = "2025-06-20 14:00:00"
+REF = "2024-09-13 14:00:00"
 
 
 def one(df):
@@ -27,8 +27,8 @@ def test_single_transaction(make_tx):
     row = one(customer_features(make_tx({}), REF))
     assert (row["Recency"], row["Frequency"], row["AccountFrequency"], row["Amount_count"]) == (5, 1, 1, 1)
     assert row["Amount_std"] is None
-    assert (row["Amount_sum"], row["Value_mean"], row["AvgTransactionHour"]) == (200.5, 1000.0, 14.0)
-    assert (row["CountryCode"], row["CurrencyCode"], row["ChannelId"]) == ("ET", "ETB", "1")
+    assert (row["Amount_sum"], row["Value_mean"], row["AvgTransactionHour"]) == (37.25, 412.0, 10.0)
+    assert (row["CountryCode"], row["CurrencyCode"], row["ChannelId"]) == ("KE", "KES", "4")
     assert row["MostFrequentDayOfWeek"] == 6
 
 
@@ -36,8 +36,8 @@ def test_ties_take_the_smallest_value_of_the_columns_own_type(make_tx):
     row = one(
         customer_features(
             make_tx(
-                {"ChannelId": 10, "CountryCode": "US", "TransactionStartTime": "2025-06-18T10:00:00"},
-                {"ChannelId": 8, "CountryCode": "ET", "TransactionStartTime": "2025-06-16T10:00:00"},
+                {"ChannelId": 10, "CountryCode": "US", "TransactionStartTime": "2024-09-11T10:00:00"},
+                {"ChannelId": 8, "CountryCode": "ET", "TransactionStartTime": "2024-09-09T10:00:00"},
             ),
             REF,
         )
@@ -77,11 +77,11 @@ def test_nothing_known(make_tx):
 @pytest.mark.parametrize(
     ("moment", "days"),
     [
-        ("2025-06-20T15:00:00", -1),  # an hour after the reference
-        ("2025-06-20T14:00:00", 0),
-        ("2025-06-19T14:00:01", 0),
-        ("2025-06-19T14:00:00", 1),
-        ("2025-06-22T15:00:00", -3),
+        ("2024-09-13T15:00:00", -1),  # an hour after the reference
+        ("2024-09-13T14:00:00", 0),
+        ("2024-09-12T14:00:01", 0),
+        ("2024-09-12T14:00:00", 1),
+        ("2024-09-15T15:00:00", -3),
     ],
 )
 def test_recency_rounds_down(make_tx, moment, days):
@@ -90,15 +90,15 @@ def test_recency_rounds_down(make_tx, moment, days):
 
 @pytest.mark.parametrize(("zone", "days"), [(None, 1), (timezone.utc, 1), (timezone(timedelta(hours=3)), 0)])
 def test_reference_may_be_a_datetime(make_tx, zone, days):
-    row = one(customer_features(make_tx({}), datetime(2025, 6, 16, 14, tzinfo=zone)))
+    row = one(customer_features(make_tx({}), datetime(2024, 9, 9, 10, tzinfo=zone)))
     assert row["Recency"] == days
 
 
 def test_null_customers_are_dropped_but_count_for_the_reference_date(make_tx):
-    tx = make_tx({}, {"CustomerId": None, "TransactionStartTime": "2025-06-17T14:00:00"})
-    assert reference_date(tx).first()[0] == datetime(2025, 6, 17, 14)
+    tx = make_tx({}, {"CustomerId": None, "TransactionStartTime": "2024-09-10T14:00:00"})
+    assert reference_date(tx).first()[0] == datetime(2024, 9, 10, 14)
     row = one(customer_features(tx))
-    assert (row["CustomerId"], row["Recency"]) == ("C123", 2)
+    assert (row["CustomerId"], row["Recency"]) == ("K-31", 2)
 
 
 def test_nan_is_missing(make_tx):

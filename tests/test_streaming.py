@@ -1,4 +1,6 @@
 import json
+import os
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from txrisk.session import materialise
 from txrisk.sources.artifacts import Artifacts
 from txrisk.streaming.scoring import read_request_stream, score_stream
 
-REF = "2025-07-01 00:00:00"
+REF = "2024-09-24 00:00:00"
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +42,7 @@ def write_requests(folder, names):
 def run_stream(spark, folder, out, artifacts, **options):
     requests = read_request_stream(spark, str(folder), options.pop("max_files", None))
     query = score_stream(
-        requests, artifacts, str(out / "scores"), str(out / "rejected"), str(out / "state"), REF, **options
+        requests, artifacts, str(out / "scores"), str(out / "rejected"), str(out / "state"), options.pop("reference", REF), **options
     )
     query.awaitTermination(120)
     assert query.exception() is None
@@ -59,8 +61,8 @@ def test_stream_equals_batch_per_request(spark, artifacts, tmp_path, max_files):
             expected[f"{name}.json", r["CustomerId"]] = r["risk_probability"]
     assert got == pytest.approx(expected)
     assert sorted((r["CustomerId"], list(r["errors"])) for r in rejected.collect()) == [
-        ("C123", ["Amount: missing"]),
         ("C3", []),
+        ("K-31", ["Amount: missing"]),
     ]
 
 
@@ -73,6 +75,24 @@ def test_rows_can_be_refused_one_by_one_and_new_files_are_picked_up(spark, artif
     assert sorted(r["CustomerId"] for r in scores.collect()) == ["C1", "C3"]
 
 
+def test_recency_counts_from_the_time_of_the_request(spark, artifacts, tmp_path):
+    write_requests(tmp_path / "in", ["a", "b"])
+    moments = {"a.json": REF, "b.json": "2024-12-01 00:00:00"}
+    for name, moment in moments.items():
+        seconds = datetime.fromisoformat(moment).replace(tzinfo=timezone.utc).timestamp()
+        os.utime(tmp_path / "in" / name, (seconds, seconds))
+    runs = []
+    for attempt in ("first", "again"):
+        scores, _ = run_stream(spark, tmp_path / "in", tmp_path / attempt, artifacts, reference=None)
+        assert scores.columns[:3] == ["RequestId", "CustomerId", "risk_probability"]
+        runs.append({(r["RequestId"].split("/")[-1], r["CustomerId"]): r["risk_probability"] for r in scores.collect()})
+    expected = {}
+    for name, moment in moments.items():
+        tx = spark.read.schema(TX_SCHEMA).json(str(tmp_path / "in" / name))
+        expected |= {(name, r["CustomerId"]): r["risk_probability"] for r in score(tx, artifacts, moment).collect()}
+    assert runs[0] == runs[1] == pytest.approx(expected)
+
+
 def test_columns_are_checked(spark, artifacts, tmp_path):
     (tmp_path / "in").mkdir()
     with pytest.raises(ValueError, match="Amount"):

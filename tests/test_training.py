@@ -94,19 +94,28 @@ def test_loaded_artifacts_score_the_same(run, spark, many_tx):
 
 
 def test_missing_artifacts_are_named(run, spark, tmp_path):
-    with pytest.raises(FileNotFoundError, match="preparation"):
+    with pytest.raises(FileNotFoundError, match="versions"):
         load_artifacts(spark, str(tmp_path))
-    made, _ = run
-    save_artifacts(spark, str(tmp_path), made.artifacts)
-    made.artifacts.fitted.to_frame(spark).write.parquet(str(tmp_path / "other" / "preparation"))
+    run[0].artifacts.fitted.to_frame(spark).write.parquet(str(tmp_path / "v" / "preparation"))
     with pytest.raises(FileNotFoundError, match="manifest"):
-        load_artifacts(spark, str(tmp_path / "other"))
+        load_artifacts(spark, str(tmp_path), "v")
+
+
+def test_a_version_counts_only_when_it_is_whole(run, spark, tmp_path):
+    artifacts = run[0].artifacts
+    first = save_artifacts(spark, str(tmp_path), artifacts)
+    with pytest.raises(Exception):
+        save_artifacts(spark, str(tmp_path), artifacts._replace(model=None, manifest=["other"]))
+    assert load_artifacts(spark, str(tmp_path)).manifest == artifacts.manifest
+    save_artifacts(spark, str(tmp_path), artifacts._replace(feature_set="A"))
+    assert load_artifacts(spark, str(tmp_path)).feature_set == "A"
+    assert load_artifacts(spark, str(tmp_path), first).feature_set == "B"
 
 
 def test_one_transaction_scores(run, make_tx):
     rows = scoring.score(make_tx({}), run[0].artifacts).collect()
     assert len(rows) == 1 and rows[0].asDict().keys() == {"CustomerId", "risk_probability"}
-    assert rows[0]["CustomerId"] == "C123" and 0 <= rows[0]["risk_probability"] <= 1
+    assert rows[0]["CustomerId"] == "K-31" and 0 <= rows[0]["risk_probability"] <= 1
 
 
 def test_one_transaction_takes_the_training_mean_of_the_deviation(run, make_tx):

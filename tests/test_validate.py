@@ -25,7 +25,7 @@ def errors_of(spark, **row):
 def test_good_row(spark):
     row = with_errors(request(spark, {})).first()
     assert row["errors"] == []
-    assert (row["Amount"], row["ChannelId"], row["TransactionStartTime"].hour) == (200.5, 1, 14)
+    assert (row["Amount"], row["ChannelId"], row["TransactionStartTime"].hour) == (37.25, 4, 10)
 
 
 @pytest.mark.parametrize(
@@ -38,8 +38,8 @@ def test_good_row(spark):
         ({"Value": -1, "ChannelId": "1.5x"}, ["ChannelId: not a valid int", "Value: must be greater than 0"]),
         ({"TransactionStartTime": "yesterday"}, ["TransactionStartTime: not a valid timestamp"]),
         ({"TransactionStartTime": "12:30:00"}, ["TransactionStartTime: not a valid timestamp"]),
-        ({"TransactionStartTime": "2025-06-15T14:00:00Z"}, []),
-        ({"TransactionStartTime": "2025-06-15"}, []),
+        ({"TransactionStartTime": "2024-09-08T14:00:00Z"}, []),
+        ({"TransactionStartTime": "2024-09-08"}, []),
         ({"CustomerId": None, "AccountId": None}, ["CustomerId: missing", "AccountId: missing"]),
     ],
 )

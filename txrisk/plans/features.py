@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from txrisk.operators.prepare import MAX_CATEGORIES, Preparation, apply_preparation, fit_preparation
 from txrisk.operators.rollup import customer_features
 from txrisk.operators.validate import require_columns
-from txrisk.schema import CUSTOMER, FEATURE_SETS
+from txrisk.schema import CUSTOMER, FEATURE_SETS, RFM_COLUMNS
 from txrisk.session import materialise
 
 
@@ -37,6 +37,12 @@ def fit_features(
     return Features(matrix, fitted, [*fitted.names, *chosen.extras])
 
 
+def rfm_features(customers: DataFrame) -> DataFrame:
+    """Id and the scaled spend, frequency and recency: all that clustering reads of feature set A. Pass a materialised frame."""
+    fitted = fit_preparation(customers, (), [c.removeprefix("num__") for c in RFM_COLUMNS])
+    return apply_preparation(customers, fitted, keep=(CUSTOMER,))
+
+
 def features(tx: DataFrame, reference=None, feature_set: str = "A", max_categories: int = MAX_CATEGORIES) -> Features:
     """Roll up, fit and encode. The roll-up is computed once and kept, since fitting and encoding both read it."""
     require_columns(tx)

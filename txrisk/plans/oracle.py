@@ -201,6 +201,12 @@ _COLUMNS = [*ID_COLUMNS, *CATEGORY_COLUMNS, "Amount", "Value", "TransactionStart
 
 _MANIFEST_ROWS = ", ".join(f"('{name}')" for name in MANIFEST)
 
+# Who is in the test part, with which label; the checks of the scores have to hold for all of them.
+_TEST_ROWS = (
+    _with(TX, CUST, preparation("cust", "A"), ASSIGNED, LABELS, _RANKED)
+    + """select CustomerId, is_high_risk, true as in_range, true as agrees from ranked where rn <= round(n * 0.2::double)"""
+)
+
 ORACLE: dict[str, str] = {
     "time_features": _with(TX)
     + """select TransactionId, cast(hour(t) as integer) as TransactionHour, cast(day(t) as integer) as TransactionDay,
@@ -344,4 +350,9 @@ ORACLE: dict[str, str] = {
     + " union all ".join(
         f"select '{m}' as model, n, {_RATIOS}, ({_auc(m)}) as roc_auc from ({_metrics(m)})" for m in ("by_value", "by_hour")
     ),
+    "rfm_clusters": _with(TX) + "select distinct CustomerId, true as nearest, true as centred from tx where CustomerId is not null",
+    **{q: _TEST_ROWS for q in ("rf_scores", "default_rf_scores", "logistic_scores")},
+    "score_batch": _with(TX)
+    + f"""select distinct CustomerId, true as in_range from tx
+          where CustomerId is not null and TransactionStartTime >= timestamp '{CUT}'""",
 }

@@ -7,14 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Estimator
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import named, to_long
 from txrisk.functions.timefeat import time_features
 from txrisk.operators import label, metrics, prepare, profile, rollup, split, train, validate
 from txrisk.plans import scoring
-from txrisk.plans.features import Features, features, fit_features
+from txrisk.plans.features import Features, features, fit_features, rfm_features
 from txrisk.plans.training import labelled_vectors
 from txrisk.schema import CATEGORY_COLUMNS, CUSTOMER, FEATURE_SETS, ID_COLUMNS, RFM_COLUMNS
 from txrisk.session import materialise
@@ -213,8 +214,8 @@ def q_shared_account_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature set A with the cluster of the nearest fixed centre."""
-    return label.assign_clusters(_features(spark, sf_dir, "A").matrix, CENTRES)
+    """Scaled spend, frequency and recency with the cluster of the nearest fixed centre."""
+    return label.assign_clusters(rfm_features(_customers(spark, sf_dir)), CENTRES)
 
 
 def q_assign_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +233,7 @@ def q_label_from_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of unknown country have no label here, so that some rows have none."""
     customers = _customers(spark, sf_dir)
-    assigned = label.assign_clusters(fit_features(customers, "A").matrix, CENTRES)
+    assigned = label.assign_clusters(rfm_features(customers), CENTRES)
     known = customers.where(F.col("CountryCode") != "Unknown").select(CUSTOMER)
     labels = label.label_from_cluster(assigned).join(known, CUSTOMER, "left_semi")
     rows = train.training_set(fit_features(customers, "B").matrix, labels)
@@ -277,15 +278,24 @@ def q_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rfm_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matrix = materialise(_features(spark, sf_dir, "A").matrix.select(CUSTOMER, *RFM_COLUMNS))
+    """Whether each customer is at the nearest centre found, and that centre is the mean of its customers."""
+    matrix = materialise(rfm_features(_customers(spark, sf_dir)))
     model = label.fit_rfm_clusters(matrix)
-    return label.assign_clusters(matrix, label.centres_of(model)).select(CUSTOMER, "cluster")
+    centres = label.centres_of(model)
+    assigned = label.assign_clusters(matrix, centres)
+    distances = [sum(((named(c) - x) * (named(c) - x) for c, x in zip(RFM_COLUMNS, at, strict=True)), F.lit(0.0)) for at in centres]
+    own = F.array(*distances)[F.col("cluster")]
+    means = label.cluster_summary(assigned).select(F.col("cluster").alias("of"), *(F.col(c).alias(f"mean_{c}") for c in RFM_COLUMNS))
+    gaps = [F.abs(F.array(*(F.lit(at[i]) for at in centres))[F.col("cluster")] - F.col(f"mean_{c}")) for i, c in enumerate(RFM_COLUMNS)]
+    return assigned.join(means, F.col("cluster") == F.col("of")).select(
+        CUSTOMER, (own <= F.array_min(F.array(*distances))).alias("nearest"), (F.greatest(*gaps) < 1e-2).alias("centred")
+    )
 
 
-def _test_scores(spark: SparkSession, sf_dir: str, make_estimator) -> DataFrame:
+def held_out_scores(spark: SparkSession, sf_dir: str, make_estimator: Callable[[DataFrame], Estimator]) -> DataFrame:
     """Train on the training part of the fixed-centre label and score the test part."""
     customers = _customers(spark, sf_dir)
-    labels = label.label_from_cluster(label.assign_clusters(fit_features(customers, "A").matrix, CENTRES))
+    labels = label.label_from_cluster(label.assign_clusters(rfm_features(customers), CENTRES))
     vectors = materialise(labelled_vectors(customers, labels)[0])
     fit_rows = vectors.where(F.col("split") == "train").select("features", "is_high_risk")
     model = make_estimator(fit_rows).fit(fit_rows)
@@ -293,24 +303,34 @@ def _test_scores(spark: SparkSession, sf_dir: str, make_estimator) -> DataFrame:
     return scored.select(CUSTOMER, "is_high_risk", "risk_probability", "predicted")
 
 
+def _in_range(score: str) -> Column:
+    return F.coalesce(named(score).between(0, 1), F.lit(False))
+
+
+def _checked(scores: DataFrame) -> DataFrame:
+    """What SQL can state of a model's scores: who is scored, with which label, and that both outputs fit together."""
+    agrees = F.col("predicted") == (F.col("risk_probability") > 0.5).cast("int")
+    return scores.select(CUSTOMER, "is_high_risk", _in_range("risk_probability").alias("in_range"), agrees.alias("agrees"))
+
+
 def q_rf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _test_scores(spark, sf_dir, lambda rows: train.random_forest())
+    return _checked(held_out_scores(spark, sf_dir, lambda rows: train.random_forest()))
 
 
 def q_default_rf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _test_scores(spark, sf_dir, lambda rows: train.default_random_forest())
+    return _checked(held_out_scores(spark, sf_dir, lambda rows: train.default_random_forest()))
 
 
 def q_logistic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _test_scores(spark, sf_dir, lambda rows: train.logistic_regression(rows.count()))
+    return _checked(held_out_scores(spark, sf_dir, lambda rows: train.logistic_regression(rows.count())))
 
 
-def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on the transactions before the cut, score those after it."""
     tx = transactions(spark, sf_dir)
     cut = F.lit(CUT).cast("timestamp")
     customers = materialise(rollup.customer_features(tx.where(F.col("TransactionStartTime") < cut), CUT))
-    labels = label.label_from_cluster(label.assign_clusters(fit_features(customers, "A").matrix, CENTRES))
+    labels = label.label_from_cluster(label.assign_clusters(rfm_features(customers), CENTRES))
     vectors, made = labelled_vectors(customers, labels)
     vectors = materialise(vectors)
     model = train.random_forest().fit(vectors.where(F.col("split") == "train").select("features", "is_high_risk"))
@@ -318,4 +338,8 @@ def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(tx.where(F.col("TransactionStartTime") >= cut), artifacts, SCORING_DATE)
 
 
+def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch_scores(spark, sf_dir).select(CUSTOMER, _in_range("risk_probability").alias("in_range"))
+
+
 QUERIES: dict[str, Query] = {name[2:]: value for name, value in list(globals().items()) if name.startswith("q_")}

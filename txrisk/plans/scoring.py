@@ -22,7 +22,7 @@ def score_inputs(
 ) -> DataFrame:
     """``(*by, *manifest)``: the aligned feature matrix of new transactions, encoded with the fitted constants.
 
-    ``reference`` is the moment recency counts from; by default the start of the query.
+    ``reference`` is the moment recency counts from, or a column of ``by`` that holds it; by default the start of the query.
     """
     require_columns(tx)
     moment = F.current_timestamp() if reference is None else reference

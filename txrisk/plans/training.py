@@ -18,7 +18,7 @@ from txrisk.operators.rollup import customer_features
 from txrisk.operators.split import stratified_split
 from txrisk.operators.train import LABEL, random_forest, training_set, vectors_of, with_probability
 from txrisk.operators.validate import require_columns, validate_transactions
-from txrisk.plans.features import Features, fit_features
+from txrisk.plans.features import Features, fit_features, rfm_features
 from txrisk.schema import CUSTOMER
 from txrisk.session import materialise, release
 from txrisk.sources.artifacts import Artifacts, save_artifacts
@@ -83,7 +83,7 @@ def train_risk_model(
     customers = materialise(customer_features(tx, reference))
     kept = [customers]
     if labels is None:
-        kept.append(materialise(fit_features(customers, "A", max_categories).matrix))
+        kept.append(materialise(rfm_features(customers)))
         labels = rfm_labels(kept[-1], seed=seed)
     labels = materialise(labels)
     vectors, made = labelled_vectors(customers, labels, "B", test_share, seed, fit_on, max_categories)

@@ -67,6 +67,7 @@ CATEGORY_COLUMNS = [
     "FraudResult",
 ]
 
+# Names and types of the feature table, and the two feature sets below.
 FEATURE_SCHEMA = T.StructType(
     [
         T.StructField("CustomerId", T.StringType()),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from typing import NamedTuple
+from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -18,26 +20,40 @@ class Artifacts(NamedTuple):
     feature_set: str = "B"
 
 
-def save_artifacts(spark: SparkSession, path: str, artifacts: Artifacts) -> None:
-    """Write three small tables and the model below ``path``, replacing what is there."""
-    artifacts.fitted.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/preparation")
+def save_artifacts(spark: SparkSession, path: str, artifacts: Artifacts) -> str:
+    """Write a new version below ``path`` and return its id.
+
+    The parts of a version share a folder of their own, and the list of versions gets it only when all are there: whoever
+    loads meanwhile, or after a failure, gets the version before. Old versions stay.
+    """
+    version = uuid4().hex
+    folder = f"{path}/{version}"
+    artifacts.fitted.to_frame(spark).coalesce(1).write.parquet(f"{folder}/preparation")
     names = spark.createDataFrame(
         [(i, name, artifacts.feature_set) for i, name in enumerate(artifacts.manifest)],
         "pos int, name string, feature_set string",
     )
-    names.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
-    PipelineModel(stages=[artifacts.model]).write().overwrite().save(f"{path}/model")
+    names.coalesce(1).write.parquet(f"{folder}/manifest")
+    PipelineModel(stages=[artifacts.model]).write().save(f"{folder}/model")
+    saved = spark.range(1).select(F.current_timestamp().alias("saved_at"), F.lit(version).alias("version"))
+    saved.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return version
 
 
-def load_artifacts(spark: SparkSession, path: str) -> Artifacts:
-    """Read them back; the error names the part that is missing."""
+def load_artifacts(spark: SparkSession, path: str, version: str | None = None) -> Artifacts:
+    """Read the latest version, or the given one; where a part does not exist, the error names it."""
     try:
+        part = "versions"
+        if version is None:
+            version = spark.read.parquet(f"{path}/versions").agg(F.max_by("version", F.struct("saved_at", "version"))).first()[0]
         part = "preparation"
-        fitted = Preparation.from_frame(spark.read.parquet(f"{path}/preparation"))
+        fitted = Preparation.from_frame(spark.read.parquet(f"{path}/{version}/preparation"))
         part = "manifest"
-        names = spark.read.parquet(f"{path}/manifest").orderBy(F.col("pos")).collect()
+        names = spark.read.parquet(f"{path}/{version}/manifest").orderBy(F.col("pos")).collect()
         part = "model"
-        model = PipelineModel.load(f"{path}/model").stages[0]
-    except Exception as error:
-        raise FileNotFoundError(f"No usable {part} below {path}") from error
+        model = PipelineModel.load(f"{path}/{version}/model").stages[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"No {part} of the artifacts below {path}") from error
     return Artifacts(fitted, [r["name"] for r in names], model, names[0]["feature_set"])

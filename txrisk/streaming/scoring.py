@@ -13,15 +13,16 @@ from txrisk.sources.artifacts import Artifacts
 from txrisk.sources.tables import parse_requests
 
 REQUEST = "RequestId"
+REQUEST_TIME = "RequestTime"
 
 
 def read_request_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """JSON request files as a stream of text rows, each with the file it came from as its request id."""
+    """JSON request files as a stream of text rows, each with the file it came from as its request id, and that file's time."""
     reader = spark.readStream.format("text").option("wholetext", True)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.load(path).select("value", F.col("_metadata.file_path").alias(REQUEST))
-    return parse_requests(files).select("request.*", REQUEST)
+    meta = [F.col("_metadata.file_path").alias(REQUEST), F.col("_metadata.file_modification_time").alias(REQUEST_TIME)]
+    return parse_requests(reader.load(path).select("value", *meta)).select("request.*", REQUEST, REQUEST_TIME)
 
 
 def score_stream(
@@ -41,12 +42,18 @@ def score_stream(
     ``scores_path``; bad rows, or with ``refuse_whole_request`` all rows of a request that has one, go to
     ``rejected_path`` with their reasons. Every batch overwrites its own ``batch_id`` folder, so a batch that is retried
     after a failure leaves no duplicates.
+
+    Without ``reference`` the recency of a request counts from its own ``RequestTime``, so a retry gives the same scores; from
+    the clock only if ``requests`` has no such column.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         checked = with_errors(batch).persist()
         valid = split_valid(checked, REQUEST if refuse_whole_request else None)
-        scores = score(valid.accepted, artifacts, reference, by=(REQUEST, CUSTOMER))
+        if reference is None and REQUEST_TIME in batch.columns:
+            scores = score(valid.accepted, artifacts, F.col(REQUEST_TIME), by=(REQUEST, REQUEST_TIME, CUSTOMER)).drop(REQUEST_TIME)
+        else:
+            scores = score(valid.accepted, artifacts, reference, by=(REQUEST, CUSTOMER))
         scores.write.mode("overwrite").parquet(f"{scores_path}/batch_id={batch_id}")
         valid.rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
         checked.unpersist()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txrisk.llm.common import table
 from txrisk.llm.op01_html import extract_main_text
@@ -17,6 +18,10 @@ from txrisk.llm.op07_secrets import find_secrets
 from txrisk.llm.op08_rans import read_token_files, write_token_files
 from txrisk.llm.op09_decontamination import contaminated
 from txrisk.llm.op10_toxicity import toxicity
+from txrisk.llm.op11_overlap_join import overlap_join
+from txrisk.llm.op12_runs import periodic_runs
+from txrisk.llm.op13_negatives import hard_negatives, usable
+from txrisk.llm.oracle import ORACLE as ORACLE
 
 PII_KEY = b"change me: whoever knows the key can undo the pseudonyms"
 
@@ -65,6 +70,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs after a repetition has been written over the end of a tenth of the texts."""
+    return periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives for every row whose id is divisible by 100; a seventh of the rows has its label shifted first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(usable(table(spark, sf_dir, "embeddings").withColumn("label", label)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_packing": op2_packing,
@@ -76,8 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_overlap_join": op11_overlap_join,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
-
-# None can be stated in SQL: trees of pages, best fit, archives, keyed permutations, grammars, a tokenizer's merges.
-# They are held against brute force in tests/llm.
-ORACLE: dict[str, str] = {}

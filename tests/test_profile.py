@@ -110,7 +110,7 @@ def test_id_uniqueness(make_tx):
 
 
 def test_value_counts_and_balance(make_tx):
-    tx = make_tx({"FraudResult": 0}, {"FraudResult": 0}, {"FraudResult": 1}, {"FraudResult": None})
+    tx = make_tx(*({"FraudResult": f, "ChannelId": 1} for f in (0, 0, 1, None)))
     counts = profile.value_counts(tx, ["FraudResult", "ChannelId"]).collect()
     assert [tuple(r) for r in counts] == [("ChannelId", "1", 4), ("FraudResult", "0", 2), ("FraudResult", "1", 1)]
     shares = {r["FraudResult"]: r["share"] for r in profile.class_balance(tx, "FraudResult").collect()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txrisk.plans.queries import CENTRES, CUT, INTERCEPT, MANIFEST, SCORING_DATE, WEIGHTS
+from txrisk.plans.queries import CENTRES, CUT, INTERCEPT, MANIFEST, NUMBERS, SCORING_DATE, WEIGHTS
 from txrisk.schema import CATEGORY_COLUMNS, FEATURE_SETS, ID_COLUMNS
 from txrisk.sources.fixtures import ORDER_TRANSACTIONS_SQL, TRANSACTIONS_SQL
 
@@ -172,6 +172,9 @@ def _auc(score: str) -> str:
 _MONEY = "money as (select 'Amount' as \"column\", Amount as v from tx union all select 'Value', Value from tx)"
 
 
+_NUMBERS = "numbers as (" + " union all ".join(f"""select '{c}' as "column", cast({c} as double) as v from tx""" for c in NUMBERS) + ")"
+
+
 def _value_counts(column: str) -> str:
     return f"""select '{column}' as "column", cast({column} as varchar) as value, count(*) as n
       from tx where {column} is not null group by 2"""
@@ -257,10 +260,10 @@ ORACLE: dict[str, str] = {
         f"""select '{c}' as "column", '{_TYPES.get(c, "string")}' as type, count({c}) as non_null from tx"""
         for c in dict.fromkeys(_COLUMNS)
     ),
-    "profile_describe": _with(TX, _MONEY)
+    "profile_describe": _with(TX, _NUMBERS)
     + """select "column", count(v) as count, round(avg(v), 6) as mean, round(stddev_samp(v), 6) as std,
            round(min(v), 6) as min, round(quantile_cont(v, 0.25), 6) as p25, round(quantile_cont(v, 0.5), 6) as p50,
-           round(quantile_cont(v, 0.75), 6) as p75, round(max(v), 6) as max from money group by 1""",
+           round(quantile_cont(v, 0.75), 6) as p75, round(max(v), 6) as max from numbers group by 1""",
     "id_uniqueness": _with(TX) + " union all ".join(_uniqueness(c) for c in ID_COLUMNS),
     "value_counts": _with(TX) + " union all ".join(_value_counts(c) for c in CATEGORY_COLUMNS),
     "class_balance": _with(TX)

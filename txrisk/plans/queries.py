@@ -23,6 +23,7 @@ from txrisk.sources.artifacts import Artifacts
 from txrisk.sources.fixtures import order_transactions, transactions
 
 MONEY = ["Amount", "Value"]
+NUMBERS = ["CountryCode", "ChannelId", "Amount", "Value", "PricingStrategy", "FraudResult"]
 
 # Fixed values of the queries that need constants: three cluster centres, a cut between history and new transactions with
 # the moment recency counts from, a manifest with one absent column, and scorecard weights.
@@ -156,7 +157,7 @@ def q_profile_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_profile_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = profile.describe(transactions(spark, sf_dir), MONEY)
+    df = profile.describe(transactions(spark, sf_dir), NUMBERS)
     return rounded(df, 6, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

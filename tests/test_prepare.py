@@ -90,23 +90,11 @@ def test_names_with_dots_and_backticks(spark):
 
 def test_too_many_categories_are_refused(spark):
     df = spark.range(11).select(F.col("id").cast("string").alias("code"))
-    with pytest.raises(ValueError, match="fit_sparse_encoder"):
+    with pytest.raises(ValueError, match="operators.sparse"):
         fit_preparation(df, ["code"], [], max_categories=10)
     assert len(fit_preparation(df, ["code"], [], max_categories=11).categories["code"]) == 11
 
 
-def test_sparse_encoder_equals_the_dense_one(spark, sample, fitted):
-    new = sample.unionByName(sample.limit(1).withColumns({"CustomerId": F.lit("d"), "CountryCode": F.lit("KE")}))
-    filled = prepare.fill_most_frequent(sample, CATEGORICAL)
-    model = prepare.fit_sparse_encoder(filled, CATEGORICAL)
-    filled_new = new.withColumn("CountryCode", F.coalesce("CountryCode", F.lit("ET")))
-    sparse = {r["CustomerId"]: r for r in model.transform(filled_new).collect()}
-    for row in apply_preparation(new, fitted, ["CustomerId"]).collect():
-        for column in CATEGORICAL:
-            dense = [row[f"cat__{column}_{v}"] for v in fitted.categories[column]]
-            assert list(sparse[row["CustomerId"]][f"cat__{column}"].toArray()) == dense
-
-
 def test_stats_table_round_trip(spark, fitted, tmp_path):
     fitted.to_frame(spark).write.parquet(str(tmp_path / "p"))
     assert Preparation.from_frame(spark.read.parquet(str(tmp_path / "p"))) == fitted

@@ -9,17 +9,15 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import named
 
-# Beyond this many indicator columns per feature a wide projection is refused unless the caller raises the number; there is
-# no such limit on fit_sparse_encoder.
-MAX_CATEGORIES = 1000
+# Up to this many known values a feature gets a column for each; beyond, its values become slots of a sparse vector
+# (operators.sparse), without a limit.
+WIDE_CATEGORIES = 1000
 
 
 @dataclass(frozen=True)
@@ -105,13 +103,34 @@ def impute_stats(df: DataFrame, categorical: Sequence[str], numerical: Sequence[
     return modes.unionByName(numbers)
 
 
+def numeric_constants(df: DataFrame, numerical: Sequence[str]) -> tuple[dict[str, float], dict[str, float]]:
+    """Means and scales per column (one job)."""
+    means: dict[str, float] = {}
+    scale: dict[str, float] = {}
+    if numerical:
+        for row in numeric_stats(df, numerical).collect():
+            means[row["feature"]] = row["mean"]
+            # A constant column divides by 1; its computed deviation may be a rounding residue instead of 0.
+            constant = row["std"] <= 1e-13 * abs(row["mean"])
+            scale[row["feature"]] = 1.0 if constant else row["std"]
+    return means, scale
+
+
 def fit_preparation(
     df: DataFrame,
     categorical: Sequence[str],
     numerical: Sequence[str],
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int = WIDE_CATEGORIES,
 ) -> Preparation:
-    """Fit on ``df`` (two jobs; pass a materialised frame). Collects at most ``max_categories + 1`` values per feature."""
+    """Fit on ``df`` (two jobs; pass a materialised frame) for a table with one column per category, or raise an error."""
+    fitted = fit_if_narrow(df, categorical, numerical, max_categories)
+    if fitted is None:
+        raise ValueError(f"More than {max_categories} categories in a feature: raise max_categories, or use operators.sparse, which has no limit")
+    return fitted
+
+
+def fit_if_narrow(df: DataFrame, categorical: Sequence[str], numerical: Sequence[str], max_categories: int = WIDE_CATEGORIES) -> Preparation | None:
+    """``fit_preparation``, or nothing if a feature has more than ``max_categories`` values. One more than that reach the driver at most."""
     fill: dict[str, str | float | None] = dict.fromkeys(categorical)
     categories: dict[str, list[str]] = {c: [] for c in categorical}
     if categorical:
@@ -119,23 +138,13 @@ def fit_preparation(
             categories[row["feature"]].append(row["value"])
             if row["rank"] == 1:
                 fill[row["feature"]] = row["value"]
-    wide = [c for c in categorical if len(categories[c]) > max_categories]
-    if wide:
-        raise ValueError(
-            f"More than {max_categories} categories in {wide}: raise max_categories, or use fit_sparse_encoder, which keeps "
-            "them in one sparse vector"
-        )
-    scale: dict[str, float] = {}
-    if numerical:
-        for row in numeric_stats(df, numerical).collect():
-            fill[row["feature"]] = row["mean"]
-            # A constant column divides by 1; its computed deviation may be a rounding residue instead of 0.
-            constant = row["std"] <= 1e-13 * abs(row["mean"])
-            scale[row["feature"]] = 1.0 if constant else row["std"]
+    if any(len(known) > max_categories for known in categories.values()):
+        return None
+    means, scale = numeric_constants(df, numerical)
     return Preparation(
         categorical=tuple(categorical),
         numerical=tuple(numerical),
-        fill=fill,
+        fill={**fill, **means},
         categories={c: sorted(v) for c, v in categories.items()},
         scale=scale,
     )
@@ -181,34 +190,6 @@ def feature_vector(df: DataFrame, names: Sequence[str], output: str = "features"
     return df.withColumn(output, array_to_vector(values))
 
 
-def fit_sparse_encoder(df: DataFrame, categorical: Sequence[str]) -> PipelineModel:
-    """Indicators for any number of categories: one sparse vector ``cat__<column>`` per feature.
-
-    Categories are sorted. The last slot of the indexer stands for unseen and null values and is the one dropped, so both
-    give all zeros; fill nulls with the most frequent value first to match ``apply_preparation``.
-    """
-    stages = [
-        StringIndexer(
-            inputCols=list(categorical),
-            outputCols=[f"_index_{c}" for c in categorical],
-            stringOrderType="alphabetAsc",
-            handleInvalid="keep",
-        ),
-        OneHotEncoder(
-            inputCols=[f"_index_{c}" for c in categorical],
-            outputCols=[f"cat__{c}" for c in categorical],
-            dropLast=True,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(df)
-
-
-def fill_most_frequent(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
-    """Replace nulls by the most frequent value of each column, for the sparse encoder (one small job)."""
-    top = {r["feature"]: r["value"] for r in category_counts(df, categorical, limit=1).collect()}
-    return df.withColumns({c: F.coalesce(named(c).cast("string"), F.lit(top.get(c))) for c in categorical})
-
-
 def align_features(
     df: DataFrame, manifest: Sequence[str], extras: Sequence[str] = (), keep: Sequence[str] = (), fill: float = 0.0
 ) -> DataFrame:

@@ -10,9 +10,10 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,18 +41,35 @@ def training_set(features: DataFrame, labels: DataFrame, keep_id: bool = False)
     return joined if keep_id else joined.drop(CUSTOMER)
 
 
-def logistic_regression(rows: int, max_iter: int = 1000, c: float = 1.0) -> LogisticRegression:
+def logistic_regression(rows: int, max_iter: int = 1000, c: float = 1.0, tol: float = 1e-10) -> LogisticRegression:
     """L2 penalty with inverse strength ``c`` on the sum of losses; Spark averages the losses, hence ``1 / (c * rows)``."""
     return LogisticRegression(
         featuresCol="features",
         labelCol=LABEL,
         maxIter=max_iter,
+        tol=tol,
         regParam=1.0 / (c * rows),
         elasticNetParam=0.0,
         standardization=False,
     )
 
 
+def logistic_gradient(vectors: DataFrame, model: LogisticRegressionModel, label: str = LABEL) -> DataFrame:
+    """``(slot, gradient)`` of the mean loss with its penalty at the model's weights; the last slot is the intercept.
+
+    All zero at the optimum, whatever way led there. One aggregation over the rows, whose vectors stay sparse.
+    """
+    off = model.transform(vectors).select("features", (vector_to_array("probability")[1] - F.col(label)).alias("off"))
+    # A weighted sum takes weights of one sign only.
+    above, below = F.greatest("off", F.lit(0.0)), F.greatest(-F.col("off"), F.lit(0.0))
+    add = lambda weight: Summarizer.sum(F.col("features"), weight)
+    sums = off.agg(F.avg("off").alias("mean"), F.count(F.lit(1)).alias("n"), add(above).alias("above"), add(below).alias("below"))
+    weights = F.array(*(F.lit(float(w)) for w in model.coefficients.toArray()))
+    data = F.zip_with(vector_to_array("above"), vector_to_array("below"), lambda a, b: (a - b) / F.col("n"))
+    slopes = F.zip_with(data, weights, lambda g, w: g + w * F.lit(model.getRegParam()))
+    return sums.select(F.posexplode(F.concat(slopes, F.array("mean"))).alias("slot", "gradient"))
+
+
 def random_forest(
     trees: int = 100, max_depth: int = 10, seed: int = 42, min_instances: int = 1, max_bins: int = 32
 ) -> RandomForestClassifier:

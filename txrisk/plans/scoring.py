@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from txrisk.functions.columns import named
 from txrisk.operators.prepare import align_features
 from txrisk.operators.rollup import customer_features
+from txrisk.operators.sparse import SparsePreparation, encode_sparse
 from txrisk.operators.train import vectors_of, with_probability
 from txrisk.operators.validate import require_columns
 from txrisk.plans.features import encode_customers
@@ -34,8 +35,13 @@ def score_inputs(
 
 def score(tx: DataFrame, artifacts: Artifacts, reference=None, by: Sequence[str] = (CUSTOMER,)) -> DataFrame:
     """``(*by, risk_probability)``, one row per customer; one lazy plan from transactions to probabilities."""
-    inputs = score_inputs(tx, artifacts, reference, by)
-    scored = with_probability(artifacts.model, vectors_of(inputs, artifacts.manifest))
+    if isinstance(artifacts.fitted, SparsePreparation):
+        require_columns(tx)
+        customers = customer_features(tx, F.current_timestamp() if reference is None else reference, by)
+        vectors = encode_sparse(customers, artifacts.fitted, keep=tuple(by))
+    else:
+        vectors = vectors_of(score_inputs(tx, artifacts, reference, by), artifacts.manifest)
+    scored = with_probability(artifacts.model, vectors)
     return scored.select(*(named(c) for c in by), "risk_probability")
 
 

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from txrisk.functions.columns import named
 from txrisk.operators.label import rfm_labels
 from txrisk.operators.metrics import METRIC_NAMES, evaluate
-from txrisk.operators.prepare import MAX_CATEGORIES, require_feature_names
+from txrisk.operators.prepare import WIDE_CATEGORIES
 from txrisk.operators.rollup import customer_features
 from txrisk.operators.split import stratified_split
-from txrisk.operators.train import LABEL, random_forest, training_set, vectors_of, with_probability
+from txrisk.operators.train import LABEL, random_forest, training_set, with_probability
 from txrisk.operators.validate import require_columns, validate_transactions
-from txrisk.plans.features import Features, fit_features, rfm_features
+from txrisk.plans.features import Vectors, fit_vectors, rfm_features
 from txrisk.schema import CUSTOMER
 from txrisk.session import materialise, release
 from txrisk.sources.artifacts import Artifacts, save_artifacts
@@ -38,9 +38,9 @@ def labelled_vectors(
     test_share: float = 0.2,
     seed: int = 42,
     fit_on: str = "all",
-    max_categories: int = MAX_CATEGORIES,
-) -> tuple[DataFrame, Features]:
-    """``(frame, features)``: id, label, split and feature vector per labelled customer, with what was fitted.
+    max_categories: int = WIDE_CATEGORIES,
+) -> tuple[DataFrame, Vectors]:
+    """``(frame, vectors)``: id, label, split and feature vector per labelled customer, with what was fitted.
 
     Both inputs should be materialised. The preparation is fitted on all customers, or with ``fit_on="train"`` on those of
     the training part only; the split is the same either way.
@@ -51,10 +51,8 @@ def labelled_vectors(
     base = None
     if fit_on == "train":
         base = customers.join(split.where(F.col("split") == "train").select(CUSTOMER), CUSTOMER, "left_semi")
-    made = fit_features(customers, feature_set, max_categories, fit_on=base)
-    matrix = require_feature_names(made.matrix, made.manifest, keep=[CUSTOMER])
-    vectors = vectors_of(matrix, made.manifest).select(CUSTOMER, "features")
-    return vectors.join(split, CUSTOMER), made
+    made = fit_vectors(customers, feature_set, max_categories, fit_on=base)
+    return made.rows.join(split, CUSTOMER), made
 
 
 def train_risk_model(
@@ -66,7 +64,7 @@ def train_risk_model(
     seed: int = 42,
     fit_on: str = "all",
     only_valid: bool = False,
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int = WIDE_CATEGORIES,
     artifact_path: str | None = None,
     run_log_path: str | None = None,
     run_name: str = "random_forest",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -49,6 +50,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path that the driver and all executors see: below ``spark.checkpoint.dir``; on one machine a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="txrisk-")
+    return f"{folder.rstrip('/')}/txrisk-{name}-{uuid.uuid4().hex}"
+
+
 def release(df: DataFrame) -> None:
     """Unpersist a frame from ``materialise``; tables in the shared folder are left to the cluster's own clean-up."""
     if df.is_cached:

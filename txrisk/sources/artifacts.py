@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from typing import NamedTuple
 from uuid import uuid4
 
@@ -11,10 +12,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.operators.prepare import Preparation
+from txrisk.operators.sparse import SparsePreparation
 
 
 class Artifacts(NamedTuple):
-    fitted: Preparation
+    fitted: Preparation | SparsePreparation
     manifest: list[str]
     model: Model | None
     feature_set: str = "B"
@@ -28,7 +30,12 @@ def save_artifacts(spark: SparkSession, path: str, artifacts: Artifacts) -> str:
     """
     version = uuid4().hex
     folder = f"{path}/{version}"
-    artifacts.fitted.to_frame(spark).coalesce(1).write.parquet(f"{folder}/preparation")
+    if isinstance(artifacts.fitted, SparsePreparation):
+        artifacts.fitted.index.write.parquet(f"{folder}/index")
+        constants = artifacts.fitted.constants(spark)
+    else:
+        constants = artifacts.fitted.to_frame(spark)
+    constants.coalesce(1).write.parquet(f"{folder}/preparation")
     names = spark.createDataFrame(
         [(i, name, artifacts.feature_set) for i, name in enumerate(artifacts.manifest)],
         "pos int, name string, feature_set string",
@@ -47,7 +54,13 @@ def load_artifacts(spark: SparkSession, path: str, version: str | None = None) -
         if version is None:
             version = spark.read.parquet(f"{path}/versions").agg(F.max_by("version", F.struct("saved_at", "version"))).first()[0]
         part = "preparation"
-        fitted = Preparation.from_frame(spark.read.parquet(f"{path}/{version}/preparation"))
+        saved = spark.read.parquet(f"{path}/{version}/preparation")
+        sparse = json.loads(saved.first()["preparation"]).get("sparse")
+        if sparse:
+            part = "index"
+            fitted = SparsePreparation.read(sparse, spark.read.parquet(f"{path}/{version}/index"))
+        else:
+            fitted = Preparation.from_frame(saved)
         part = "manifest"
         names = spark.read.parquet(f"{path}/{version}/manifest").orderBy(F.col("pos")).collect()
         part = "model"

@@ -62,14 +62,24 @@ def _walk(vector: Column, depth: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.lit(0), step)
 
 
-def score_forest(vectors: DataFrame, nodes: DataFrame, keys: Sequence[str], depth: int, output: str = "risk_probability") -> DataFrame:
-    """(*keys, output): the mean of the leaves' shares over all trees, for rows of unique ``keys`` with ``features``."""
+def leaf_shares(
+    vectors: DataFrame, nodes: DataFrame, keys: Sequence[str], depth: int, match: Sequence[str] = (), forest: Sequence[str] = ()
+) -> DataFrame:
+    """(*keys, *match, *forest, _risk): for each row and tree the share in the leaf that the row reaches.
+
+    ``nodes`` may hold several forests, told apart by ``forest``; a row meets those that equal it in the ``match`` columns.
+    """
     node = F.sort_array(F.collect_list(F.struct("id", "feature", "threshold", "left", "right", "risk")))
     fields = ("feature", "threshold", "left", "right", "risk")
-    trees = nodes.groupBy("tree").agg(node.alias("node")).select("tree", *(F.col(f"node.{c}").alias(c) for c in fields))
+    trees = nodes.groupBy(*match, *forest, "tree").agg(node.alias("node"))
+    trees = trees.select(*match, *forest, "tree", *(F.col(f"node.{c}").alias(c) for c in fields))
     size = nodes.agg(F.count(F.lit(1)), F.max("tree")).first()
-    each = vectors.select(*(named(c) for c in keys), vector_to_array("features").alias("_x"))
+    each = vectors.select(*(named(c) for c in keys), *match, vector_to_array("features").alias("_x"))
     each = each.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(size[1]))))
-    joined = each.join(F.broadcast(trees) if size[0] <= BROADCAST_NODES else trees, "tree")
-    leaves = joined.select(*(named(c) for c in keys), F.get("risk", _walk(F.col("_x"), depth)).alias("_risk"))
-    return leaves.groupBy(*(named(c) for c in keys)).agg(F.avg("_risk").alias(output))
+    joined = each.join(F.broadcast(trees) if size[0] <= BROADCAST_NODES else trees, [*match, "tree"])
+    return joined.select(*(named(c) for c in keys), *match, *forest, F.get("risk", _walk(F.col("_x"), depth)).alias("_risk"))
+
+
+def score_forest(vectors: DataFrame, nodes: DataFrame, keys: Sequence[str], depth: int, output: str = "risk_probability") -> DataFrame:
+    """(*keys, output): the mean of the leaves' shares over all trees, for rows of unique ``keys`` with ``features``."""
+    return leaf_shares(vectors, nodes, keys, depth).groupBy(*(named(c) for c in keys)).agg(F.avg("_risk").alias(output))

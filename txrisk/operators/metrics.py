@@ -72,6 +72,11 @@ def _ranges_for(per_score: DataFrame) -> int:
     return per_score.count() // SCORES_PER_RANGE + 1
 
 
+def areas_of(per_score: DataFrame) -> DataFrame:
+    """``(model, roc_auc)`` of a materialised table ``(model, score, pos, neg)``, for any number of models at once."""
+    return _areas(per_score, _ranges_for(per_score))
+
+
 def roc_auc(scored: DataFrame, label: str, score: str, ranges: int | None = None) -> DataFrame:
     """One row ``roc_auc``: the exact area, tied scores counting one half; null when only one class is present.
 

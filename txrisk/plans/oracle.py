@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txrisk.plans.queries import CENTRES, CUT, INTERCEPT, MANIFEST, NUMBERS, SCORING_DATE, WEIGHTS
+from txrisk.plans.queries import CENTRES, CUT, GRID, INTERCEPT, MANIFEST, NUMBERS, SCORING_DATE, WEIGHTS
 from txrisk.schema import CATEGORY_COLUMNS, FEATURE_SETS, ID_COLUMNS
 from txrisk.sources.fixtures import ORDER_TRANSACTIONS_SQL, TRANSACTIONS_SQL
 
@@ -207,7 +207,13 @@ _MANIFEST_ROWS = ", ".join(f"('{name}')" for name in MANIFEST)
 # Who is in the test part, with which label; the checks of the scores have to hold for all of them.
 _TEST_ROWS = (
     _with(TX, CUST, preparation("cust", "A"), ASSIGNED, LABELS, _RANKED)
-    + """select CustomerId, is_high_risk, true as in_range, true as agrees from ranked where rn <= round(n * 0.2::double)"""
+    + """select CustomerId, is_high_risk, true as in_range, true as agrees, true as separates{more}
+         from ranked where rn <= round(n * 0.2::double)"""
+)
+
+_GRID_ROWS = " cross join ".join(
+    f"(select unnest([{', '.join(map(str, values))}])::integer as {name}) {name}"
+    for name, values in (("trees", GRID["trees"]), ("max_depth", GRID["depths"]), ("min_samples_split", GRID["min_splits"]))
 )
 
 ORACLE: dict[str, str] = {
@@ -354,8 +360,23 @@ ORACLE: dict[str, str] = {
         f"select '{m}' as model, n, {_RATIOS}, ({_auc(m)}) as roc_auc from ({_metrics(m)})" for m in ("by_value", "by_hour")
     ),
     "rfm_clusters": _with(TX) + "select distinct CustomerId, true as nearest, true as centred from tx where CustomerId is not null",
-    **{q: _TEST_ROWS for q in ("rf_scores", "default_rf_scores", "logistic_scores")},
+    **{q: _TEST_ROWS.replace("{more}", ", true as as_table") for q in ("rf_scores", "default_rf_scores")},
+    "logistic_scores": _TEST_ROWS.replace("{more}", ""),
+    "logistic_optimum": _with(TX, CUST, preparation("cust", "B"))
+    + """select distinct feature, true as at_optimum from (select * from enc union all select * from sca union all select * from ext)
+         union all select '(intercept)', true""",
+    "grid_search": _with(TX, CUST, preparation("cust", "A"), ASSIGNED, LABELS, _RANKED)
+    + f""", folds as (select cast(cast(rn > round(n * (1::double / 3)) as integer) + cast(rn > round(n * (2::double / 3)) as integer) as integer) as fold
+                     from ranked)
+         select trees, max_depth, min_samples_split, fold, n, true as is_area, true as best_is_greatest
+         from (select fold, count(*) as n from folds group by fold) f cross join {_GRID_ROWS}""",
+    "encode_sparse": _with(TX, CUST, preparation("cust", "B"), "own as (select CustomerId, min(AccountId) as v from tx group by 1)")
+    + f"""select CustomerId, feature, {_round("value", 6)} as value from (
+           select * from enc union all select * from sca where feature in ('num__Amount_sum', 'num__Value_mean')
+           union all select * from ext where feature = 'Frequency'
+           union all select CustomerId, 'cat__FirstAccount_' || v, 1.0::double from own where CustomerId is not null)
+         where value <> 0""",
     "score_batch": _with(TX)
-    + f"""select distinct CustomerId, true as in_range from tx
+    + f"""select distinct CustomerId, true as in_range, true as as_table from tx
           where CustomerId is not null and TransactionStartTime >= timestamp '{CUT}'""",
 }

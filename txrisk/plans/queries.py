@@ -7,14 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import named, to_long
 from txrisk.functions.timefeat import time_features
-from txrisk.operators import label, metrics, prepare, profile, rollup, split, train, validate
-from txrisk.plans import scoring
+from txrisk.operators import forest, label, metrics, prepare, profile, rollup, sparse, split, train, validate
+from txrisk.plans import scoring, search
 from txrisk.plans.features import Features, features, fit_features, rfm_features
 from txrisk.plans.training import labelled_vectors
 from txrisk.schema import CATEGORY_COLUMNS, CUSTOMER, FEATURE_SETS, ID_COLUMNS, RFM_COLUMNS
@@ -40,6 +41,7 @@ WEIGHTS = {
     "cat__ChannelId_8": -0.2,
 }
 INTERCEPT = -0.5
+GRID = {"trees": [4, 8], "depths": [3, 6], "min_splits": [2, 20], "folds": 3}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -293,41 +295,91 @@ def q_rfm_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def held_out_scores(spark: SparkSession, sf_dir: str, make_estimator: Callable[[DataFrame], Estimator]) -> DataFrame:
-    """Train on the training part of the fixed-centre label and score the test part."""
+def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """Feature vectors with the label of the fixed centres and the split, and the names of their positions."""
     customers = _customers(spark, sf_dir)
     labels = label.label_from_cluster(label.assign_clusters(rfm_features(customers), CENTRES))
-    vectors = materialise(labelled_vectors(customers, labels)[0])
+    vectors, made = labelled_vectors(customers, labels)
+    return materialise(vectors), made.manifest
+
+
+def held_out_scores(spark: SparkSession, sf_dir: str, make_estimator: Callable[[DataFrame], Estimator]) -> tuple[DataFrame, DataFrame, Model]:
+    """Train on the training part of the fixed-centre label and score the test part: scores, test vectors and the model."""
+    vectors, _ = _labelled(spark, sf_dir)
     fit_rows = vectors.where(F.col("split") == "train").select("features", "is_high_risk")
     model = make_estimator(fit_rows).fit(fit_rows)
-    scored = train.with_probability(model, vectors.where(F.col("split") == "test"))
-    return scored.select(CUSTOMER, "is_high_risk", "risk_probability", "predicted")
+    test = vectors.where(F.col("split") == "test")
+    scored = train.with_probability(model, test).select(CUSTOMER, "is_high_risk", "risk_probability", "predicted")
+    return materialise(scored), test, model
 
 
 def _in_range(score: str) -> Column:
     return F.coalesce(named(score).between(0, 1), F.lit(False))
 
 
-def _checked(scores: DataFrame) -> DataFrame:
-    """What SQL can state of a model's scores: who is scored, with which label, and that both outputs fit together."""
+def _checked(scores: DataFrame, *more: Column) -> DataFrame:
+    """What SQL can state of a model's scores: who is scored, with which label, that both outputs fit together, and that the scores tell
+    the classes apart (the label depends on the features, so an area below 0.9 is a fault)."""
     agrees = F.col("predicted") == (F.col("risk_probability") > 0.5).cast("int")
-    return scores.select(CUSTOMER, "is_high_risk", _in_range("risk_probability").alias("in_range"), agrees.alias("agrees"))
+    area = metrics.roc_auc(scores, "is_high_risk", "risk_probability").first()[0]
+    checks = [_in_range("risk_probability").alias("in_range"), agrees.alias("agrees"), F.lit(area is not None and area >= 0.9).alias("separates")]
+    return scores.select(CUSTOMER, "is_high_risk", *checks, *more)
+
+
+def _with_table_scores(scores: DataFrame, vectors: DataFrame, nodes: DataFrame, depth: int) -> tuple[DataFrame, Column]:
+    """The scores of the node table beside the model's, and whether they are the same."""
+    table = forest.score_forest(vectors, nodes, [CUSTOMER], depth, "_table")
+    same = F.coalesce(F.abs(F.col("risk_probability") - F.col("_table")) <= 1e-12, F.lit(False)).alias("as_table")
+    return scores.join(table, CUSTOMER, "left"), same
+
+
+def _forest_checks(spark: SparkSession, sf_dir: str, estimator: RandomForestClassifier) -> DataFrame:
+    scores, test, model = held_out_scores(spark, sf_dir, lambda rows: estimator)
+    scores, same = _with_table_scores(scores, test, forest.forest_nodes(spark, model), estimator.getMaxDepth())
+    return _checked(materialise(scores), same)
 
 
 def q_rf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked(held_out_scores(spark, sf_dir, lambda rows: train.random_forest()))
+    return _forest_checks(spark, sf_dir, train.random_forest())
 
 
 def q_default_rf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked(held_out_scores(spark, sf_dir, lambda rows: train.default_random_forest()))
+    return _forest_checks(spark, sf_dir, train.default_random_forest())
 
 
 def q_logistic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked(held_out_scores(spark, sf_dir, lambda rows: train.logistic_regression(rows.count())))
+    return _checked(held_out_scores(spark, sf_dir, lambda rows: train.logistic_regression(rows.count()))[0])
+
+
+def q_logistic_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the gradient of the penalised loss vanishes at the fitted weights, per feature and for the intercept."""
+    vectors, names = _labelled(spark, sf_dir)
+    rows = vectors.where(F.col("split") == "train").select("features", "is_high_risk")
+    gradient = train.logistic_gradient(rows, train.logistic_regression(rows.count()).fit(rows))
+    named_slots = F.array(*(F.lit(n) for n in [*names, "(intercept)"]))[F.col("slot")]
+    return gradient.select(named_slots.alias("feature"), (F.abs("gradient") < 1e-4).alias("at_optimum"))
+
+
+def q_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every setting and fold with its size; whether the area is one, and whether no setting's mean is above that of the best."""
+    vectors, _ = _labelled(spark, sf_dir)
+    found = search.search_forests(vectors.drop("split"), GRID["trees"], GRID["depths"], GRID["min_splits"], GRID["folds"])
+    means = found.areas.groupBy(*search.SETTING).agg(F.avg("roc_auc").alias("mean"))
+    greatest = found.best["roc_auc"]
+    rows = found.areas.join(means, list(search.SETTING))
+    return rows.select(*search.SETTING, "fold", "n", F.col("roc_auc").between(0.5, 1).alias("is_area"), (F.col("mean") <= greatest).alias("best_is_greatest"))
+
+
+def q_encode_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse vectors with a category for about every customer, back in long form: (CustomerId, feature, value) of what isn't 0."""
+    own = transactions(spark, sf_dir).groupBy(CUSTOMER).agg(F.min("AccountId").alias("FirstAccount"))
+    customers = materialise(_customers(spark, sf_dir).join(own, CUSTOMER))
+    fitted = sparse.fit_sparse(customers, [*FEATURE_SETS["B"].categorical, "FirstAccount"], ["Amount_sum", "Value_mean"], ["Frequency"])
+    return rounded(sparse.long_entries(sparse.encode_sparse(customers, fitted, [CUSTOMER]), fitted, [CUSTOMER]), 6, "value")
 
 
-def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train on the transactions before the cut, score those after it."""
+def batch_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Artifacts]:
+    """Train on the transactions before the cut, score those after it: scores, the vectors scored and what was fitted."""
     tx = transactions(spark, sf_dir)
     cut = F.lit(CUT).cast("timestamp")
     customers = materialise(rollup.customer_features(tx.where(F.col("TransactionStartTime") < cut), CUT))
@@ -336,11 +388,16 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = materialise(vectors)
     model = train.random_forest().fit(vectors.where(F.col("split") == "train").select("features", "is_high_risk"))
     artifacts = Artifacts(made.fitted, made.manifest, model, "B")
-    return scoring.score(tx.where(F.col("TransactionStartTime") >= cut), artifacts, SCORING_DATE)
+    recent = tx.where(F.col("TransactionStartTime") >= cut)
+    inputs = train.vectors_of(scoring.score_inputs(recent, artifacts, SCORING_DATE), artifacts.manifest)
+    return scoring.score(recent, artifacts, SCORING_DATE), inputs, artifacts
 
 
 def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_scores(spark, sf_dir).select(CUSTOMER, _in_range("risk_probability").alias("in_range"))
+    """Whether the scores of a batch are probabilities, and those that the forest's node table gives for the same inputs."""
+    scores, inputs, artifacts = batch_scores(spark, sf_dir)
+    scores, same = _with_table_scores(scores, inputs, forest.forest_nodes(spark, artifacts.model), 10)
+    return scores.select(CUSTOMER, _in_range("risk_probability").alias("in_range"), same)
 
 
 QUERIES: dict[str, Query] = {name[2:]: value for name, value in list(globals().items()) if name.startswith("q_")}

@@ -13,7 +13,8 @@ from txrisk.plans.training import labelled_vectors
 from txrisk.schema import TX_SCHEMA
 from txrisk.session import materialise
 from txrisk.sources.artifacts import Artifacts
-from txrisk.streaming.scoring import read_request_stream, score_stream
+from txrisk.streaming import scoring as feed
+from txrisk.streaming.scoring import read_published, read_request_stream, score_stream
 
 REF = "2024-09-24 00:00:00"
 
@@ -39,6 +40,10 @@ def write_requests(folder, names):
         (folder / f"{name}.json").write_text(json.dumps(REQUESTS[name]))
 
 
+def published(spark, out):
+    return [read_published(spark, str(out / part), str(out / "scores")) for part in ("scores", "rejected")]
+
+
 def run_stream(spark, folder, out, artifacts, **options):
     requests = read_request_stream(spark, str(folder), options.pop("max_files", None))
     query = score_stream(
@@ -46,7 +51,7 @@ def run_stream(spark, folder, out, artifacts, **options):
     )
     query.awaitTermination(120)
     assert query.exception() is None
-    return spark.read.parquet(str(out / "scores")), spark.read.parquet(str(out / "rejected"))
+    return published(spark, out)
 
 
 @pytest.mark.parametrize("max_files", [None, 1])
@@ -97,3 +102,38 @@ def test_columns_are_checked(spark, artifacts, tmp_path):
     (tmp_path / "in").mkdir()
     with pytest.raises(ValueError, match="Amount"):
         score_stream(read_request_stream(spark, str(tmp_path / "in")).drop("Amount"), artifacts, "s", "r", "c")
+
+
+def test_a_batch_is_published_whole_or_not_at_all(spark, artifacts, tmp_path, monkeypatch):
+    """Killed between the two writes, after both, and after the commit: nothing, nothing, then everything once."""
+    write_requests(tmp_path / "in", REQUESTS)
+    plain = feed.split_valid
+
+    class Fails:
+        def __getattr__(self, name):
+            raise RuntimeError("killed")
+
+    def half(checked, by):
+        out = plain(checked, by)
+        return out._replace(rejected=Fails())
+
+    requests = read_request_stream(spark, str(tmp_path / "in"))
+    args = (requests, artifacts, str(tmp_path / "scores"), str(tmp_path / "rejected"), str(tmp_path / "state"), REF)
+    monkeypatch.setattr(feed, "split_valid", half)
+    with pytest.raises(Exception, match="killed"):
+        score_stream(*args).awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "scores")).count() > 0
+    assert read_published(spark, str(tmp_path / "scores"), str(tmp_path / "scores")).count() == 0
+    monkeypatch.setattr(feed, "split_valid", plain)
+    monkeypatch.setattr(feed, "_COMMIT", "batch_id long, attempt int")
+    with pytest.raises(Exception):
+        score_stream(*args).awaitTermination(120)
+    monkeypatch.setattr(feed, "_COMMIT", "batch_id long, attempt string")
+    assert all(frame.count() == 0 for frame in published(spark, tmp_path))
+    score_stream(*args).awaitTermination(120)
+    counts = [frame.count() for frame in published(spark, tmp_path)]
+    assert counts == [3, 2] and spark.read.parquet(str(tmp_path / "scores")).count() == 9
+    # The same batch once more, as after a loss of the stream's own state: it is left alone.
+    again = args[:4] + (str(tmp_path / "other-state"), REF)
+    score_stream(*again).awaitTermination(120)
+    assert [frame.count() for frame in published(spark, tmp_path)] == counts

@@ -142,6 +142,20 @@ _SCORING = _with(
     "inputs as (select * from enc union all select * from sca union all select * from ext)",
 )
 
+# Twenty events make a request; one bad row refuses all of them. A request and a customer take the place of a customer.
+_STREAM = _with(
+    TX,
+    "numbered as (select *, 'R' || cast(cast(floor(cast(substr(TransactionId, 2) as bigint) / 20) as bigint) as varchar) as r from tx)",
+    """bad as (select distinct r from numbered where Amount is null or Amount <= 0 or Value is null or Value <= 0 or CountryCode is null
+        or CurrencyCode is null or ChannelId is null or AccountId is null or CustomerId is null)""",
+    f"old as (select * from tx where TransactionStartTime < timestamp '{CUT}')",
+    "recent as (select * replace (r || '/' || CustomerId as CustomerId) from numbered where r not in (select r from bad))",
+    customers("cust_old", "old", CUT),
+    customers("cust", "recent", SCORING_DATE),
+    preparation("cust", "B", "cust_old"),
+    "inputs as (select * from enc union all select * from sca union all select * from ext)",
+)
+
 _SCORED = f"""scored as (
   select cast(Value + hour(TransactionStartTime) > 60 as integer) as is_high_risk,
     Value / (Value + 50) as by_value, hour(TransactionStartTime) / 23 as by_hour
@@ -202,6 +216,12 @@ _TYPES = {
 }
 _COLUMNS = [*ID_COLUMNS, *CATEGORY_COLUMNS, "Amount", "Value", "TransactionStartTime"]
 
+_LINEAR = (
+    f"1 / (1 + exp(-({INTERCEPT}"
+    + "".join(f" + sum(case when feature = '{name}' then value * ({w}) else 0 end)" for name, w in WEIGHTS.items())
+    + ")))"
+)
+
 _MANIFEST_ROWS = ", ".join(f"('{name}')" for name in MANIFEST)
 
 # Who is in the test part, with which label; the checks of the scores have to hold for all of them.
@@ -255,11 +275,11 @@ ORACLE: dict[str, str] = {
           left join (select * from enc union all select * from sca union all select * from ext) f
             on f.CustomerId = c.CustomerId and f.feature = m.feature""",
     "score_inputs": _SCORING + _LONG + "inputs",
-    "score_linear": _SCORING
-    + "select CustomerId, round(1 / (1 + exp(-("
-    + str(INTERCEPT)
-    + "".join(f" + sum(case when feature = '{name}' then value * ({w}) else 0 end)" for name, w in WEIGHTS.items())
-    + "))), 6) as risk_probability from inputs group by CustomerId",
+    "score_linear": _SCORING + f"select CustomerId, round({_LINEAR}, 6) as risk_probability from inputs group by CustomerId",
+    "stream_linear": _STREAM
+    + f"""select split_part(CustomerId, '/', 1) as RequestId, split_part(CustomerId, '/', 2) as what, round({_LINEAR}, 6) as score
+          from inputs group by CustomerId
+          union all select r, 'rejected', cast(count(*) as double) from numbered where r in (select r from bad) group by r""",
     "profile_shape": _with(TX) + "select count(*) as rows, cast(16 as integer) as columns from tx",
     "profile_info": _with(TX)
     + " union all ".join(

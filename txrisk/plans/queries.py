@@ -5,12 +5,13 @@ Floating results are rounded here, and only here, because their last digits depe
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from txrisk.functions.columns import named, to_long
 from txrisk.functions.timefeat import time_features
@@ -18,10 +19,11 @@ from txrisk.operators import forest, label, metrics, prepare, profile, rollup, s
 from txrisk.plans import scoring, search
 from txrisk.plans.features import Features, features, fit_features, rfm_features
 from txrisk.plans.training import labelled_vectors
-from txrisk.schema import CATEGORY_COLUMNS, CUSTOMER, FEATURE_SETS, ID_COLUMNS, RFM_COLUMNS
-from txrisk.session import materialise
+from txrisk.schema import CATEGORY_COLUMNS, CUSTOMER, FEATURE_SETS, ID_COLUMNS, REQUEST_COLUMNS, REQUEST_TEXT_SCHEMA, RFM_COLUMNS
+from txrisk.session import materialise, scratch_path
 from txrisk.sources.artifacts import Artifacts
 from txrisk.sources.fixtures import order_transactions, transactions
+from txrisk.streaming.scoring import REQUEST, read_published, score_stream
 
 MONEY = ["Amount", "Value"]
 NUMBERS = ["CountryCode", "ChannelId", "Amount", "Value", "PricingStrategy", "FraudResult"]
@@ -400,4 +402,28 @@ def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(CUSTOMER, _in_range("risk_probability").alias("in_range"), same)
 
 
+def q_stream_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty events make a request; requests run through the stream, and what it publishes is read: scores, and rejected rows counted.
+
+    ``what`` is the customer, or "rejected" with the number of rows refused as the score.
+    """
+    tx = transactions(spark, sf_dir)
+    _, artifacts = _history_artifacts(spark, sf_dir)
+    feed = scratch_path(spark, "feed")
+    number = F.floor(F.substring("TransactionId", 2, 20).cast("long") / 20)
+    text = [named(c).cast("string").alias(c) for c in REQUEST_COLUMNS]
+    tx.select(*text, F.concat(F.lit("R"), number).alias(REQUEST)).write.parquet(f"{feed}/in")
+    requests = spark.readStream.schema(StructType([*REQUEST_TEXT_SCHEMA.fields, StructField(REQUEST, StringType())])).parquet(f"{feed}/in")
+
+    def scorer(rows: DataFrame, fitted: Artifacts, reference: str, by: Sequence[str]) -> DataFrame:
+        return scoring.score_linear(rows, fitted, WEIGHTS, INTERCEPT, reference, by)
+
+    query = score_stream(requests, artifacts, f"{feed}/scores", f"{feed}/rejected", f"{feed}/state", SCORING_DATE, scorer=scorer)
+    query.awaitTermination()
+    scores, rejected = (read_published(spark, f"{feed}/{part}", f"{feed}/scores") for part in ("scores", "rejected"))
+    refused = rejected.groupBy(REQUEST).agg(F.count(F.lit(1)).cast("double").alias("score"))
+    made = scores.select(REQUEST, F.col(CUSTOMER).alias("what"), F.col("risk_probability").alias("score"))
+    return rounded(made.unionByName(refused.select(REQUEST, F.lit("rejected").alias("what"), "score")), 6, "score")
+
+
 QUERIES: dict[str, Query] = {name[2:]: value for name, value in list(globals().items()) if name.startswith("q_")}

@@ -369,7 +369,7 @@ def q_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = found.areas.groupBy(*search.SETTING).agg(F.avg("roc_auc").alias("mean"))
     greatest = found.best["roc_auc"]
     rows = found.areas.join(means, list(search.SETTING))
-    return rows.select(*search.SETTING, "fold", "n", F.col("roc_auc").between(0.5, 1).alias("is_area"), (F.col("mean") <= greatest).alias("best_is_greatest"))
+    return rows.select(*search.SETTING, "fold", "n", F.col("roc_auc").between(0, 1).alias("is_area"), (F.col("mean") <= greatest).alias("best_is_greatest"))
 
 
 def q_encode_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,9 +54,10 @@ def test_bounds_are_never_below_the_overlap():
     for _ in range(300):
         a = np.unique(rng.integers(0, 1 << 64, int(rng.integers(1, 900)), dtype=np.uint64))
         b = np.unique(np.concatenate([rng.choice(a, len(a) // 2), rng.integers(0, 1 << 64, int(rng.integers(1, 900)), dtype=np.uint64)]))
-        width = min(op11_overlap_join._width(len(a)), op11_overlap_join._width(len(b)))
-        points = [op11_overlap_join._point(len(s), op11_overlap_join.group_counts(s).tobytes(), width) for s in (a, b)]
-        assert points[0].sum() == len(a) and np.minimum(*points).sum() >= len(np.intersect1d(a, b))
+        for fine in (False, True):
+            width = min(op11_overlap_join._width(len(s), fine) for s in (a, b))
+            points = [op11_overlap_join.on_grid(op11_overlap_join.group_counts(s), width) for s in (a, b)]
+            assert points[0].sum() == len(a) and np.minimum(*points).sum() >= len(np.intersect1d(a, b))
 
 
 def test_tree_finds_all_pairs_that_reach_the_bound():

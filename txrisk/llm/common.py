@@ -50,13 +50,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as a Parquet table in the shared folder: lineage is cut and lost executors cost a re-read."""
-    path = new_path(df.sparkSession, name)
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once as a Parquet table at ``path``, and read from there."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a Parquet table in the shared folder: lineage is cut and lost executors cost a re-read."""
+    return written(df, new_path(df.sparkSession, name))
+
+
 def full_uri(path: str) -> str:
     """``path`` with a scheme, as the file systems of pyarrow want it."""
     return path if ":/" in path else f"file://{path}"

@@ -13,11 +13,11 @@ The tree, from its root down:
    over ``CELLS`` cells, so a passage that a third of all texts share is in nobody's first coordinates but its own copies'.
 2. A node of many unlike points is cut again by a second such coordinate: linked sets share two among their first n - that + 2.
 3. Below, points are packed in order of size and leading coordinates, ``FAN`` to a node, and pairs of nodes are followed from the root as
-   long as their bound allows, down to pairs of points.
+   long as their bound allows, down to pairs of points. What survives on a coarse grid is packed once more on a fine one.
 
-What survives is verified on the full sets. Links join components; a first run over the two rarest coordinates of each point finds most
-of them, and the full run leaves out nodes, at every level of the tree, whose points are all of one component. No link between different
-sets is lost: every bound is a true upper bound.
+What survives is verified on the full sets. Links join components; a first run over the coordinates with the smallest hashes, which near copies
+share whatever was changed in them, finds most of them, and the full run leaves out nodes, at every level of the tree, whose points are all of
+one component. No link between different sets is lost: every bound is a true upper bound.
 
 At scale: equal sets are one point from the start. Nodes are dealt in blocks of ``leaf`` points; where all but few points of a
 node are of one component, only these few meet every block. Groups are linear in their points, no pair is written, and links leave as
@@ -31,6 +31,7 @@ table gives no rows; texts are read whole; further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,33 +39,73 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import kept
+from txrisk.llm.common import kept, new_path, remove, written
 from txrisk.llm.components import components, smallest_linked
-from txrisk.llm.op06_near_dedup import _dealt, _groups, _joined, _links, _mix, _sid, shingle_set
+from txrisk.llm.op06_near_dedup import _LOWER, _M2, _dealt, _groups, _joined, _links, _mix, _sid
 
 CELLS = 1 << 16
+SMALL = 1_000_000  # rows of two numbers that may go to every executor
 FAN = 8
-WIDTH = 64  # groups of a small set; larger sets have a quarter to half as many groups as shingles
+WIDTH = 64  # groups of a small set
 _PAIR_BYTES = 1 << 23
 
 
-def _width(n: int) -> int:
-    """Groups of a set of ``n`` shingles, a power of two."""
-    return max(WIDTH, 1 << n.bit_length() >> 2)
+def shingles_of(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all shingles of some texts, one text after the other, and where each text starts; A-Z count as a-z."""
+    own = [text.encode("utf-8", "surrogatepass").translate(_LOWER).split() for text in texts]
+    n = np.array([len(w) for w in own], np.int64)
+    hashed = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(own)), np.uint64, n.sum())
+    k = np.minimum(n, words)
+    many = np.where(n > 0, n - k + 1, 0)
+    starts = np.append(0, np.cumsum(many))
+    # The first word of each shingle; shingles of short texts are added up apart.
+    at = np.arange(starts[-1]) + np.repeat(np.cumsum(n) - n - starts[:-1], many)
+    total = np.repeat(k, many).astype(np.uint64)
+    short = np.flatnonzero(total < words)
+    for j in range(words):
+        if j == 0 or not len(short):
+            total = _mix(total ^ hashed[at + j if j else at]) * _M2
+        else:
+            own_k = np.repeat(k, many)
+            part = np.flatnonzero(own_k > j)
+            total[part] = _mix(total[part] ^ hashed[at[part] + j]) * _M2
+    return total, starts
+
+
+def sets_of(texts: list[str], words: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingles of each text."""
+    done = 0
+    while done < len(texts):
+        # About a megabyte of text at a time.
+        end, size = done, 0
+        while end < len(texts) and size < 1 << 20:
+            size += len(texts[end])
+            end += 1
+        total, starts = shingles_of(texts[done:end], words)
+        for lo, hi in zip(starts.tolist(), starts[1:].tolist(), strict=False):
+            part = np.sort(total[lo:hi])
+            yield part[np.append(True, part[1:] != part[:-1])] if hi - lo > 1 else part
+        done = end
+
+
+def _width(n: int, fine: bool) -> int:
+    """Groups of a set of ``n`` shingles, a power of two: one for one or two shingles; on the fine grid two to four for each."""
+    return max(WIDTH, 2 << n.bit_length() if fine else 1 << n.bit_length() >> 1)
 
 
 def group_counts(shingles: np.ndarray) -> np.ndarray:
-    """The point of a set, in the smallest type that holds its coordinates."""
-    bits = _width(len(shingles)).bit_length() - 1
-    counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    """The point of a set on the fine grid, in the smallest type that holds its coordinates."""
+    bits = _width(len(shingles), True).bit_length() - 1
+    return _least_type(np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits))
+
+
+def _least_type(counts: np.ndarray) -> np.ndarray:
     return counts.astype(np.uint8 if counts.max() < 1 << 8 else np.uint16 if counts.max() < 1 << 16 else np.uint32)
 
 
-def _point(n: int, raw: bytes, width: int) -> np.ndarray:
-    """The point of a set of ``n`` shingles with its coordinates added up to ``width`` of them."""
-    own = _width(n)
-    counts = np.frombuffer(raw, f"u{len(raw) // own}")
-    return counts.astype(np.int64).reshape(width, own // width).sum(1)
+def on_grid(counts: np.ndarray, width: int) -> np.ndarray:
+    """A point with its coordinates added up to ``width`` of them."""
+    return counts if len(counts) == width else counts.reshape(width, -1).sum(1, dtype=np.uint32)
 
 
 def first_coordinates(shingles: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
@@ -81,8 +122,15 @@ def _levels(docs: DataFrame, words: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(counts, (shingle_set(text, words) & np.uint64(CELLS - 1)).astype(np.int64), 1)
+            held, size = [], 0
+            for own in sets_of(batch.column(0).to_pylist(), words):
+                held.append(own)
+                size += len(own)
+                if size >= CELLS:
+                    counts += np.bincount((np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+                    held, size = [], 0
+            if held:
+                counts += np.bincount((np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
         cell = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(counts[cell])], names=["cell", "n"])
 
@@ -92,20 +140,25 @@ def _levels(docs: DataFrame, words: int) -> np.ndarray:
     return np.floor(4 * np.log2(counts + 1)).astype(np.uint64)
 
 
-def _points(docs: DataFrame, words: int, percent: int, level: np.ndarray) -> DataFrame:
-    """doc_id, n (size of the set), sid (128 bits that name the set; null for an empty one), firsts (first coordinates), counts (the point)."""
+def _points(docs: DataFrame, words: int, percent: int, level: np.ndarray, few: int) -> DataFrame:
+    """doc_id, n (size of the set), sid (128 bits that name the set; null for an empty one), some (``few`` coordinates), firsts, counts and coarse (the point on
+    both grids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, rest = [], []
-            for text in batch.column(1).to_pylist():
-                own = shingle_set(text, words)
+            for own in sets_of(batch.column(1).to_pylist(), words):
                 n.append(len(own))
-                rest.append((_sid(own), first_coordinates(own, level, percent).tobytes(), group_counts(own).tobytes()) if len(own) else (None,) * 3)
-            columns = [pa.array(c, pa.binary()) for c in zip(*rest, strict=True)] if rest else [pa.array([], pa.binary())] * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *columns], names=["doc_id", "n", "sid", "firsts", "counts"])
+                if not len(own):
+                    rest.append((None,) * 5)
+                    continue
+                fine = group_counts(own)
+                coarse = _least_type(on_grid(fine, _width(len(own), False)))
+                rest.append((_sid(own), *(x.tobytes() for x in (own[:few], first_coordinates(own, level, percent), fine, coarse))))
+            columns = [pa.array(c, pa.binary()) for c in zip(*rest, strict=True)] if rest else [pa.array([], pa.binary())] * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *columns], names=["doc_id", "n", "sid", "some", "firsts", "counts", "coarse"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sid binary, firsts binary, counts binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sid binary, some binary, firsts binary, counts binary, coarse binary")
 
 
 def _need(n: np.ndarray, percent: int) -> np.ndarray:
@@ -113,22 +166,23 @@ def _need(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
-def _under_first(points: DataFrame, percent: int, first: int | None) -> DataFrame:
-    """(node, vid, comp): each point in the nodes of its first coordinates, or of the ``first`` foremost."""
+def _under(points: DataFrame, coordinates: str, percent: int) -> DataFrame:
+    """(node, vid, comp): each point in the nodes of its ``coordinates``, the column ``some`` or ``firsts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.column(2).to_numpy(zero_copy_only=False)
             raw = batch.column(3).to_pylist()
             size = np.array([len(f) // 8 for f in raw], np.int64)
-            use = np.minimum(n - _need(n, percent) + 1, size if first is None else first)
+            # A further one of the first coordinates is only for nodes that are cut again.
+            use = np.minimum(n - _need(n, percent) + 1, size) if coordinates == "firsts" else size
             place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             keep = np.flatnonzero(place < np.repeat(use, size))
             of = pa.array(np.repeat(np.arange(len(n)), size)[keep])
             node = np.frombuffer(b"".join(raw), np.int64)[keep]
             yield pa.RecordBatch.from_arrays([pa.array(node), batch.column(0).take(of), batch.column(1).take(of)], names=["node", "vid", "comp"])
 
-    return points.select("vid", "comp", "n", "firsts").mapInArrow(run, "node long, vid long, comp long")
+    return points.select("vid", "comp", "n", coordinates).mapInArrow(run, "node long, vid long, comp long")
 
 
 def _under_second(rows: DataFrame, points: DataFrame) -> DataFrame:
@@ -148,12 +202,18 @@ def _under_second(rows: DataFrame, points: DataFrame) -> DataFrame:
     return rows.join(points.select("vid", "firsts"), "vid").select("node", "vid", "comp", "firsts").mapInArrow(run, "node long, vid long, comp long")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, a kept table of two or three numbers or short names a row, to be sent to every executor if it has at most ``SMALL`` rows."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+
+
 def _open_nodes(rows: DataFrame) -> DataFrame:
     """(node, vid, comp, n, alike) of the nodes with points of several components; n is the number of points, alike names the set of them."""
-    alike = F.bit_xor(F.xxhash64("vid")).alias("alike")
-    sizes = rows.groupBy("node").agg(F.count("*").alias("n"), alike, F.min("comp").alias("low"), F.max("comp").alias("high"))
-    sizes = kept(sizes.where("low != high").select(F.col("node").alias("of_node"), "n", "alike"), "node-sizes")
-    return kept(rows.join(sizes, F.col("node") == F.col("of_node")).drop("of_node"), "open-nodes")
+    ends = rows.groupBy("node").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    open_ = kept(ends.where("low != high").select(F.col("node").alias("of_node")), "node-names")
+    rows = kept(rows.join(_small(open_), F.col("node") == F.col("of_node"), "left_semi"), "node-rows")
+    sizes = rows.groupBy(F.col("node").alias("of_node")).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("vid")).alias("alike"))
+    return kept(rows.join(kept(sizes, "node-sizes"), F.col("node") == F.col("of_node")).drop("of_node"), "open-nodes")
 
 
 def _blocks(rows: DataFrame, leaf: int, complete: bool) -> DataFrame:
@@ -162,11 +222,14 @@ def _blocks(rows: DataFrame, leaf: int, complete: bool) -> DataFrame:
     return _dealt(one, leaf, complete).withColumnRenamed("sid", "vid")
 
 
-def _groups_of(points: DataFrame, percent: int, first: int | None, leaf: int) -> DataFrame:
-    """(grp, vid, comp): the groups in which points are compared; all linked pairs of two components share one, but for ``first``."""
-    rows = _open_nodes(_under_first(points, percent, first))
-    if first is not None:
-        return _blocks(rows, leaf, False)
+def _some_groups(points: DataFrame, percent: int, leaf: int) -> DataFrame:
+    """(grp, vid, comp): points that share one of ``some`` coordinates, large nodes dealt at random."""
+    return _blocks(_open_nodes(_under(points, "some", percent)), leaf, False)
+
+
+def _all_groups(points: DataFrame, percent: int, leaf: int) -> DataFrame:
+    """(grp, vid, comp): the groups in which points are compared; every linked pair of two components shares one."""
+    rows = _open_nodes(_under(points, "firsts", percent))
     large = rows.where(F.col("n") > leaf)
     counts = large.groupBy("node", "n", "comp").agg(F.count("*").alias("k"))
     others = counts.groupBy(F.col("node").alias("of_node")).agg((F.max("n") - F.max("k")).alias("others"))
@@ -182,7 +245,7 @@ class _Tree:
 
     def __init__(self, group: np.ndarray, comp: np.ndarray, n: np.ndarray, points: np.ndarray):
         # Neighbours in a node are alike in size and in their coarse coordinates.
-        coarse = points.reshape(len(points), 8, -1).sum(2)
+        coarse = points.reshape(len(points), 8, -1).sum(2, dtype=np.int64)
         self.order = np.lexsort((*(coarse[:, k] for k in range(7, -1, -1)), n, group))
         self.levels = [self._level(group[self.order], n[self.order], n[self.order], comp[self.order], points[self.order])]
         while len(np.unique(group := self.levels[-1]["group"])) < len(group):
@@ -236,8 +299,8 @@ class _Tree:
         return self.order[a], self.order[b]
 
 
-def _surviving(rows: DataFrame, percent: int) -> DataFrame:
-    """(cluster, vid): points of one group joined by pairs that survive the tree. ``rows``: grp, vid, comp, n, counts."""
+def _surviving(rows: DataFrame, percent: int, fine: bool) -> DataFrame:
+    """(cluster, vid, comp): points of one group joined by pairs that survive the tree. ``rows``: grp, vid, comp, n, counts on one of the grids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _groups(batches):
@@ -253,12 +316,13 @@ def _surviving(rows: DataFrame, percent: int) -> DataFrame:
                 own = own[np.repeat(several > 1, several)]
                 if not len(own):
                     continue
-                width = _width(1 << c >> 2)
+                width = _width(1 << c >> 2, fine)
                 # Whole groups by turns, so that not all points of a batch are unfolded at once.
-                turns = np.cumsum(several[several > 1]) * width // (1 << 24)
+                turns = np.cumsum(several[several > 1]) * width // (1 << 22)
                 for turn in np.split(own, np.cumsum(several[several > 1])[np.flatnonzero(np.diff(turns))]):
-                    points = np.array([_point(int(n[i]), raw[int(i)].as_py(), width) for i in turn])
-                    points = points.astype(np.uint16 if points.max() < 1 << 16 else np.int64)
+                    own_width = [_width(int(n[i]), fine) for i in turn]
+                    stored = [raw[int(i)].as_py() for i in turn]
+                    points = _least_type(np.array([on_grid(np.frombuffer(p, f"u{len(p) // w}"), width) for p, w in zip(stored, own_width, strict=True)]))
                     a, b = _Tree(group[turn], comp[turn], n[turn], points).pairs(percent)
                     root = _joined(root, [turn[a]], [turn[b]])
             size = np.bincount(root, minlength=len(root))
@@ -270,10 +334,10 @@ def _surviving(rows: DataFrame, percent: int) -> DataFrame:
             # The same cluster from several groups has one name.
             names = [xxhash.xxh3_64_intdigest(part.tobytes()) - (1 << 63) for part in np.split(vid[members], starts[1:])]
             clusters = np.repeat(np.array(names, np.int64), np.diff(np.append(starts, len(members))))
-            yield pa.RecordBatch.from_arrays([pa.array(clusters), pa.array(vid[members])], names=["cluster", "vid"])
+            yield pa.RecordBatch.from_arrays([pa.array(clusters), pa.array(vid[members]), pa.array(comp[members])], names=["cluster", "vid", "comp"])
 
     ordered = rows.repartition("grp").sortWithinPartitions("grp")
-    return ordered.select("grp", "vid", "comp", "n", "counts").mapInArrow(run, "cluster long, vid long").distinct()
+    return ordered.select("grp", "vid", "comp", "n", "counts").mapInArrow(run, "cluster long, vid long, comp long").distinct()
 
 
 def _verified(clusters: DataFrame, points: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -281,7 +345,7 @@ def _verified(clusters: DataFrame, points: DataFrame, docs: DataFrame, words: in
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            full = [shingle_set(text, words) for text in batch.column(2).to_pylist()]
+            full = list(sets_of(batch.column(2).to_pylist(), words))
             # An id that repeats may bring other texts; the name of the set tells them apart.
             right = [i for i, (own, sid) in enumerate(zip(full, batch.column(1).to_pylist(), strict=True)) if _sid(own) == sid]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(right, pa.int64())), pa.array([full[i].tobytes() for i in right], pa.binary())], names=["vid", "full"])
@@ -304,34 +368,39 @@ def _verified(clusters: DataFrame, points: DataFrame, docs: DataFrame, words: in
             ends = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], names=["a", "b"])
 
-    ids = points.join(clusters.select("vid").distinct(), "vid").select("doc_id", "vid", "sid")
-    full = docs.join(ids, "doc_id").select("vid", "sid", "text").mapInArrow(sets, "vid long, full binary")
+    ids = kept(points.join(clusters.select("vid").distinct(), "vid").select("doc_id", "vid", "sid"), "ids")
+    full = docs.join(_small(ids), "doc_id").select("vid", "sid", "text").mapInArrow(sets, "vid long, full binary")
     rows = clusters.join(full, "vid").select("cluster", "vid", "full")
     return rows.repartition("cluster").sortWithinPartitions("cluster").mapInArrow(run, "a long, b long").distinct()
 
 
-def overlap_join(docs: DataFrame, words: int = 5, percent: int = 80, leaf: int = 512, first: int = 2) -> DataFrame:
+def overlap_join(docs: DataFrame, words: int = 5, percent: int = 80, leaf: int = 512, few: int = 3) -> DataFrame:
     """doc_id, n_shingles and component_id for every document.
 
-    Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked. ``first`` coordinates make the first run.
+    Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked. The first run uses ``few`` coordinates of each point.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = kept(_points(source, words, percent, _levels(source, words)), "points")
-    own = rows.where("doc_id is not null and sid is not null")
-    distinct = own.groupBy("sid").agg(F.min(F.struct("doc_id", "n", "firsts", "counts")).alias("point"))
+    path = new_path(docs.sparkSession, "points")
+    every = written(_points(source, words, percent, _levels(source, words), few), path)
+    distinct = every.where("doc_id is not null and sid is not null").groupBy("sid").agg(F.min(F.struct("doc_id", "n", "some", "firsts", "counts", "coarse")).alias("point"))
     points = kept(distinct.select(F.monotonically_increasing_id().alias("vid"), "sid", "point.*"), "distinct-points")
-    # Each point is a component of its own at first.
-    labelled, edges, labels = points.withColumn("comp", F.col("vid")), None, None
-    for run in (first, None):
-        groups = _groups_of(labelled, percent, run, leaf).join(points.select("vid", "n", "counts"), "vid")
-        clusters = kept(_surviving(groups, percent), "clusters")
+    rows = kept(every.select("doc_id", "n", "sid"), "documents")
+    remove(docs.sparkSession, path)
+    edges, labels = None, None
+    for groups_of in (_some_groups, _all_groups):
+        # Each point is a component of its own at first.
+        labelled = points.withColumn("comp", F.col("vid")) if labels is None else points.join(_small(labels), "vid", "left").withColumn("comp", F.coalesce("root", "vid"))
+        groups = groups_of(labelled, percent, leaf)
+        for fine in (False, True):
+            own = points.select("vid", "n", F.col("counts" if fine else "coarse").alias("counts"))
+            groups = kept(_surviving(groups.join(own, "vid"), percent, fine), "clusters").withColumnRenamed("cluster", "grp")
+        clusters = groups.select(F.col("grp").alias("cluster"), "vid")
         found = _verified(clusters, points, source, words, percent)
         edges = kept(found if edges is None else found.unionByName(edges), "links")
-        labels = components(edges)
-        named = labels.select(F.col("vertex").alias("vid"), "root")
-        labelled = kept(points.join(named, "vid", "left").withColumn("comp", F.coalesce("root", "vid")).drop("root"), "labelled")
-    least = labelled.groupBy(F.col("comp").alias("of_comp")).agg(F.min("doc_id").alias("component_id"))
-    sets = kept(labelled.join(least, F.col("comp") == F.col("of_comp")).select("sid", "component_id"), "named-points")
-    linked = own.join(sets, "sid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        labels = kept(components(edges).withColumnRenamed("vertex", "vid"), "labels")
+    named = points.select("sid", "doc_id", "vid").join(labels, "vid", "left").withColumn("comp", F.coalesce("root", "vid"))
+    least = named.groupBy(F.col("comp").alias("of_comp")).agg(F.min("doc_id").alias("component_id"))
+    sets = kept(named.join(least, F.col("comp") == F.col("of_comp")).select("sid", "component_id"), "named-points")
+    linked = rows.where("doc_id is not null").join(sets, "sid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.where("doc_id is null or sid is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)

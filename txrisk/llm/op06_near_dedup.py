@@ -155,16 +155,17 @@ def _nodes(vertices: DataFrame, trees: range, threshold: float, leaf: int, depth
         if k == depth - 1:
             ended.append(rows)
             break
-        ended.append(rows.where(F.col("n") <= leaf))
         large = rows.where(F.col("n") > leaf)
         if large.isEmpty():
+            ended.append(rows)
             break
         # A large node ends as well if few of its documents are outside its largest component: only they have much to meet.
         counts = large.groupBy("node", "n", "comp").agg(F.count("*").alias("k"))
         others = counts.groupBy(F.col("node").alias("of_node")).agg((F.max("n") - F.max("k")).alias("others"))
-        large = kept(large.join(others, F.col("node") == F.col("of_node")).select("node", "sid", "comp", "n", "others"), "large")
-        ended.append(large.where(F.col("others") <= leaf).drop("others"))
-        level = _next_level(large.where(F.col("others") > leaf).join(vertices.select("sid", "tokens"), "sid"), threshold)
+        cut = kept(others.where(F.col("others") > leaf).select("of_node"), "cut-nodes")
+        at = F.col("node") == F.col("of_node")
+        ended.append(rows.join(cut, at, "left_anti"))
+        level = _next_level(large.join(cut, at, "left_semi").join(vertices.select("sid", "tokens"), "sid"), threshold)
     out = ended[0]
     for more in ended[1:]:
         out = out.unionByName(more)

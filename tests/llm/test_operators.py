@@ -6,10 +6,14 @@ import base64
 import hashlib
 import math
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -217,7 +221,7 @@ def test_token_files(docs, none):
     for r in docs.collect():
         ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids + [0]
         rows.append((r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-    out = op08_rans.read_token_files(*op08_rans.write_token_files(docs, path, file_tokens=5000)).collect()
+    out = op08_rans.read_token_files(op08_rans.write_token_files(docs, path, file_tokens=5000)).collect()
     assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in out), key=str) == sorted(rows, key=str)
     at = 0
     for r in sorted(out, key=lambda r: r.start):
@@ -225,14 +229,41 @@ def test_token_files(docs, none):
         at += r.n_tokens
     order = [r.doc_id for r in sorted(out, key=lambda r: r.start)]
     assert order == [None, None, *sorted(d for d in order if d is not None)]
-    assert op08_rans.read_token_files(*op08_rans.write_token_files(none, path)).count() == 0
+    assert op08_rans.read_token_files(op08_rans.write_token_files(none, path)).count() == 0
 
 
-def test_words_alone_have_the_ids_of_their_text():
+def test_words_alone_have_the_ids_of_their_text(monkeypatch):
     public = pytest.importorskip("public_tokenizers")
     words = op08_rans._words(public.path("byte_bpe_50k.json"))
-    for text in ["it's a test. don't,  two  spaces", "\n\na\n b", "a \tb", "x<|endoftext|> y", " lead trail ", "naïve “q” x.y,z", "a b c\x1cd", "\n", "Ⅷ ² x²", "\ntab\r\ncrlf"]:
-        assert words.document(text) == words.ids(text)
+    texts = ["it's a test. don't,  two  spaces", "\n\na\n b", "a \tb", "x<|endoftext|> y", " lead trail ", "naïve “q” x.y,z", "a b c\x1cd", "\n", "Ⅷ ² x²", "\ntab\r\ncrlf"]
+    texts += ["", "one", "a\nb\n\nc", "a\nb c\nd", "one"]
+    for some in (texts, texts[:1], texts[::-1], []):
+        out = words.documents(pa.array(some, pa.string()))
+        assert out == [np.append(words.ids(t), np.array([0], words.kind)).tobytes() for t in some]
+    # In slices, and with nothing remembered.
+    monkeypatch.setattr(op08_rans, "_SLICE", 10)
+    monkeypatch.setattr(op08_rans, "_MISSED", 2)
+    words.forget()
+    assert words.documents(pa.array(texts)) == [np.append(words.ids(t), np.array([0], words.kind)).tobytes() for t in texts]
+
+
+READER = """
+import sys
+from txrisk.llm.op08_rans import read_token_files
+from txrisk.session import spark_session
+spark = spark_session(**{"spark.master": "local[2]", "spark.ui.enabled": "false", "spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1"})
+files = spark.createDataFrame([(p,) for p in sys.argv[1:]], "path string")
+print("ROWS", sorted(tuple(r) for r in read_token_files(files).where("doc_id is not null").collect()))
+"""
+
+
+def test_token_files_in_a_new_process(docs):
+    public = pytest.importorskip("public_tokenizers")
+    files = op08_rans.write_token_files(docs, public.path("byte_bpe_50k.json"), file_tokens=5000)
+    rows = sorted(tuple(r) for r in op08_rans.read_token_files(files).where("doc_id is not null").collect())
+    paths = [r.path for r in files.collect()]
+    done = subprocess.run([sys.executable, "-c", READER, *paths], capture_output=True, text=True, timeout=120, cwd=Path(__file__).parents[2])
+    assert f"ROWS {rows}" in done.stdout, done.stderr[-2000:]
 
 
 def test_damaged_token_file():

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 # One folder per driver process below the shared folder, removed when the driver ends.
 _RUN = f"txrisk-llm-{uuid.uuid4().hex}"
 _FOLDERS: dict[str, str] = {}
+# The paths that the innermost ``settled`` deletes.
+_WITHIN: ContextVar[list[str] | None] = ContextVar("within", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,7 +51,10 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call gets."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (within := _WITHIN.get()) is not None:
+        within.append(path)
+    return path
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
@@ -61,6 +68,25 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return written(df, new_path(df.sparkSession, name))
 
 
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that ``build`` returns, written as a table; all paths made on the way to it are deleted, after an error as well.
+
+    Ended shuffles give their disk back when the driver collects garbage, so that is asked for here instead of twice an hour.
+    """
+    path, paths = new_path(spark, name), []
+    token = _WITHIN.set(paths)
+    try:
+        return written(build(), path)
+    except BaseException:
+        paths.append(path)
+        raise
+    finally:
+        _WITHIN.reset(token)
+        for used in paths:
+            remove(spark, used)
+        spark._jvm.System.gc()
+
+
 def full_uri(path: str) -> str:
     """``path`` with a scheme, as the file systems of pyarrow want it."""
     return path if ":/" in path else f"file://{path}"

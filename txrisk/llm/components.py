@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import kept
+from txrisk.llm.common import kept, settled
 
 TASK_EDGES = 200_000
 
@@ -69,6 +69,10 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
     """(vertex, root) for every vertex of ``edges`` (a, b), in which the order of the two and repeated edges do not matter."""
+    return settled(edges.sparkSession, "components", lambda: _components(edges, task_edges))
+
+
+def _components(edges: DataFrame, task_edges: int) -> DataFrame:
     edges = kept(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     tasks = -(-edges.count() // task_edges)
     if tasks:

@@ -21,6 +21,7 @@ component; rows that repeat an id are documents of their own; an empty table giv
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import kept
+from txrisk.llm.common import kept, new_path, remove, settled, written
 from txrisk.llm.components import components
 
 WIDTH = 128
@@ -142,6 +143,13 @@ def _next_level(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.select("sid", "comp", "tokens", "node").mapInArrow(run, _BRANCHES)
 
 
+def _open_nodes(level: DataFrame) -> DataFrame:
+    """The rows of ``level`` in nodes of several components, with n, the documents of their node."""
+    rows = kept(level, "branches")
+    sizes = rows.groupBy(F.col("node").alias("of_node")).agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+    return rows.join(sizes, F.col("node") == F.col("of_node")).select("node", "sid", "comp", "n")
+
+
 def _nodes(vertices: DataFrame, trees: range, threshold: float, leaf: int, depth: int) -> DataFrame:
     """(node, sid, comp, n) of the nodes at which the trees end; n is their number of documents.
 
@@ -149,9 +157,7 @@ def _nodes(vertices: DataFrame, trees: range, threshold: float, leaf: int, depth
     """
     level, ended = _first_level(vertices, trees, threshold), []
     for k in range(depth):
-        rows = kept(level, "branches")
-        sizes = rows.groupBy(F.col("node").alias("of_node")).agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-        rows = kept(rows.join(sizes, F.col("node") == F.col("of_node")).select("node", "sid", "comp", "n"), "nodes")
+        rows = settled(vertices.sparkSession, "nodes", partial(_open_nodes, level))
         if k == depth - 1:
             ended.append(rows)
             break
@@ -364,27 +370,37 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked. ``slack`` is how far below the
     threshold the tokens may put a pair that is still confirmed on its full sets (three standard deviations at 128 tokens).
     """
-    threshold = percent / 100
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = kept(_sets(source, words), "shingle-sets")
-    own = rows.where("doc_id is not null and sid is not null")
+    return settled(docs.sparkSession, "near-duplicates", lambda: _near_duplicates(source, words, percent, (range(first_trees), range(first_trees, trees)), leaf, depth, slack))
+
+
+def _clusters(labelled: DataFrame, vertices: DataFrame, trees: range, threshold: float, leaf: int, depth: int, slack: float, complete: bool) -> DataFrame:
+    dealt = _dealt(_nodes(labelled, trees, threshold, leaf, depth), leaf, complete)
+    return _candidates(dealt.join(vertices.select("sid", "short"), "sid"), threshold - slack)
+
+
+def _near_duplicates(source: DataFrame, words: int, percent: int, runs: tuple[range, ...], leaf: int, depth: int, slack: float) -> DataFrame:
+    spark, path = source.sparkSession, new_path(source.sparkSession, "shingle-sets")
+    sets = written(_sets(source, words), path)
     best = F.min(F.struct("doc_id", "tokens", "short")).alias("best")
-    vertices = kept(own.groupBy("sid").agg(best).select("sid", "best.*"), "vertices")
+    vertices = kept(sets.where("doc_id is not null and sid is not null").groupBy("sid").agg(best).select("sid", "best.*"), "vertices")
+    rows = kept(sets.select("doc_id", "n_shingles", "text_hash", "sid"), "rows")
+    remove(spark, path)  # the tokens are in ``vertices``, once for each set
     # Each set is a component of its own at first. A component is told by a hash of its smallest set.
     labelled, edges = vertices.withColumn("comp", F.xxhash64("sid")), None
-    for chosen in (range(first_trees), range(first_trees, trees)):
+    for chosen in runs:
         if not len(chosen):
             continue
         if edges is not None:
             found = labels.select(F.col("vertex").alias("sid"), "root")
             labelled = kept(vertices.join(found, "sid", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "sid"))).drop("root"), "labelled")
-        dealt = _dealt(_nodes(labelled, chosen, threshold, leaf, depth), leaf, edges is not None)
-        clusters = kept(_candidates(dealt.join(vertices.select("sid", "short"), "sid"), threshold - slack), "clusters")
+        clusters = settled(spark, "clusters", partial(_clusters, labelled, vertices, chosen, percent / 100, leaf, depth, slack, edges is not None))
         found = _confirmed(clusters, vertices, source, words, percent)
         edges = kept(found if edges is None else found.unionByName(edges), "links")
-        labels = kept(components(edges), "labels")
+        labels = components(edges)
     # Component of each set, then the smallest id of each component.
-    tagged = own.select("doc_id", "n_shingles", "text_hash", "sid").join(labels.withColumnRenamed("vertex", "sid"), "sid", "left")
+    own = rows.where("doc_id is not null and sid is not null")
+    tagged = own.join(labels.withColumnRenamed("vertex", "sid"), "sid", "left")
     tagged = tagged.select("doc_id", "n_shingles", "text_hash", F.coalesce("root", "sid").alias("root"))
     least = tagged.groupBy(F.col("root").alias("of_root")).agg(F.min("doc_id").alias("component_id"))
     linked = tagged.join(least, F.col("root") == F.col("of_root")).select("doc_id", "n_shingles", "component_id", "text_hash")

@@ -30,7 +30,8 @@ table gives no rows; texts are read whole; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -39,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import kept, new_path, remove, written
+from txrisk.llm.common import kept, new_path, remove, settled, written
 from txrisk.llm.components import components, smallest_linked
 from txrisk.llm.op06_near_dedup import _LOWER, _M2, _dealt, _groups, _joined, _links, _mix, _sid
 
@@ -380,24 +381,32 @@ def overlap_join(docs: DataFrame, words: int = 5, percent: int = 80, leaf: int =
     Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked. The first run uses ``few`` coordinates of each point.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    path = new_path(docs.sparkSession, "points")
+    return settled(docs.sparkSession, "overlap-join", lambda: _overlap_join(source, words, percent, leaf, few))
+
+
+def _clusters(groups_of: Callable[..., DataFrame], labelled: DataFrame, points: DataFrame, percent: int, leaf: int) -> DataFrame:
+    groups = groups_of(labelled, percent, leaf)
+    for fine in (False, True):
+        own = points.select("vid", "n", F.col("counts" if fine else "coarse").alias("counts"))
+        groups = kept(_surviving(groups.join(own, "vid"), percent, fine), "clusters").withColumnRenamed("cluster", "grp")
+    return groups.select(F.col("grp").alias("cluster"), "vid")
+
+
+def _overlap_join(source: DataFrame, words: int, percent: int, leaf: int, few: int) -> DataFrame:
+    spark, path = source.sparkSession, new_path(source.sparkSession, "points")
     every = written(_points(source, words, percent, _levels(source, words), few), path)
     distinct = every.where("doc_id is not null and sid is not null").groupBy("sid").agg(F.min(F.struct("doc_id", "n", "some", "firsts", "counts", "coarse")).alias("point"))
     points = kept(distinct.select(F.monotonically_increasing_id().alias("vid"), "sid", "point.*"), "distinct-points")
     rows = kept(every.select("doc_id", "n", "sid"), "documents")
-    remove(docs.sparkSession, path)
+    remove(spark, path)
     edges, labels = None, None
     for groups_of in (_some_groups, _all_groups):
         # Each point is a component of its own at first.
         labelled = points.withColumn("comp", F.col("vid")) if labels is None else points.join(_small(labels), "vid", "left").withColumn("comp", F.coalesce("root", "vid"))
-        groups = groups_of(labelled, percent, leaf)
-        for fine in (False, True):
-            own = points.select("vid", "n", F.col("counts" if fine else "coarse").alias("counts"))
-            groups = kept(_surviving(groups.join(own, "vid"), percent, fine), "clusters").withColumnRenamed("cluster", "grp")
-        clusters = groups.select(F.col("grp").alias("cluster"), "vid")
+        clusters = settled(spark, "clusters", partial(_clusters, groups_of, labelled, points, percent, leaf))
         found = _verified(clusters, points, source, words, percent)
         edges = kept(found if edges is None else found.unionByName(edges), "links")
-        labels = kept(components(edges).withColumnRenamed("vertex", "vid"), "labels")
+        labels = components(edges).withColumnRenamed("vertex", "vid")
     named = points.select("sid", "doc_id", "vid").join(labels, "vid", "left").withColumn("comp", F.coalesce("root", "vid"))
     least = named.groupBy(F.col("comp").alias("of_comp")).agg(F.min("doc_id").alias("component_id"))
     sets = kept(named.join(least, F.col("comp") == F.col("of_comp")).select("sid", "component_id"), "named-points")

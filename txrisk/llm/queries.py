@@ -59,7 +59,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return read_token_files(*write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+    return read_token_files(write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,17 @@
 """Toxicity by weak supervision.
 
 Voters look at a document and vote for toxic, for clean, or not at all: a fixed list of insults, words and word beginnings that
-labelled rows tie to toxic text (each of the strongest is a voter, the others vote as lexicons), patterns of shouting and of address, and,
-as one voter among the others, the label of the row. A generative label model, fitted by expectation maximisation, estimates the share
-of toxic documents and how each voter votes on either class; voters that agree more than the model explains share their weight. A
-logistic classifier is then trained on the posterior labels and scores every text; it sees no label.
+labelled rows tie to toxic text (each of the strongest is a voter, the others vote as lexicons), and patterns of shouting and of address. A
+generative label model, which sees votes only, estimates by expectation maximisation the share of toxic documents, how each voter votes
+on either class, and correlations: each voter depends on the class and on the voter that it is most tied to within the classes. A logistic
+classifier is then trained on the posterior labels and scores every text; neither of the two sees a label.
 
 At scale: mining and fitting use at most ``sample_rows`` labelled rows, those with the smallest hashes; features are counted by
-Spark with partial sums, and the driver gets a bounded number of them. Scoring is one narrow pass over whole texts.
+Spark with partial sums, and the driver gets a bounded number of them. Words that fewer than three toxic rows of the sample hold, or that
+aren't e² times as common in toxic as in clean rows, are no voters. Scoring is one narrow pass over whole texts.
 
 Defined cases: a null text is empty and gets the score of a text without features; rows without id are never training rows and are scored,
-held_out null; repeated rows get equal scores; repeated labels of an id count as toxic if one is; without labelled rows of both
+held_out null; repeated rows get equal scores; repeated labels of an id count as toxic if one is; a label other than 0 and 1 is none; without labelled rows of both
 classes the fixed list alone decides; an empty table gives no rows.
 """
 
@@ -86,7 +87,7 @@ def remainder() -> Column:
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """(text, toxic) of the bounded sample of labelled rows outside the held-out fold."""
-    drawn = labels.where("toxic is not null and doc_id is not null").where(remainder() != 0)
+    drawn = labels.where("toxic in (0, 1) and doc_id is not null").where(remainder() != 0)
     drawn = drawn.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     # ``rows`` rows at most, so a broadcast is safe.
     drawn = F.broadcast(drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
@@ -95,8 +96,8 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return kept(texts.join(drawn, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "toxicity-sample")
 
 
-def _mine(sample: DataFrame, most: int) -> list[str]:
-    """The features most tied to toxic rows; none if a class has no row."""
+def _mine(sample: DataFrame, most: int) -> tuple[list[str], float]:
+    """The features most tied to toxic rows, none if a class has no row; and the share of toxic rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bad, good, n = Counter(), Counter(), [0, 0]
@@ -115,15 +116,15 @@ def _mine(sample: DataFrame, most: int) -> list[str]:
     counts = kept(counts.groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "toxicity-features")
     n = counts.where("feature = ''").first()
     if n is None or not n.bad or not n.good:
-        return []
+        return [], 0.0
     lift = F.log((F.col("bad") + 0.5) / (n.bad + 1.0)) - F.log((F.col("good") + 0.5) / (n.good + 1.0))
     found = counts.where("feature != ''").where(F.col("bad") >= 3).withColumn("lift", lift).where("lift >= 2")
     found = found.orderBy(F.desc(F.col("bad") * F.col("lift")), "feature").limit(most).collect()
-    return [r.feature for r in found]
+    return [r.feature for r in found], n.bad / (n.bad + n.good)
 
 
-def _rows_of(sample: DataFrame, features: list[str]) -> list[tuple[list[int], bool, bool, bool, int]]:
-    """Per sample row its mined features by number, whether it holds an insult, an address, and shouting, and its label."""
+def _rows_of(sample: DataFrame, features: list[str]) -> list[tuple[list[int], bool, bool, bool]]:
+    """Per sample row its mined features by number, and whether it holds an insult, an address, and shouting."""
     number = {f: i for i, f in enumerate(features)}
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,54 +137,94 @@ def _rows_of(sample: DataFrame, features: list[str]) -> list[tuple[list[int], bo
                 rows.append((own, bool(words & INSULTS), bool(words & {"you", "your", "du", "dich", "tu", "toi", "vous", "usted"}), 2 * upper > sum(c.isalpha() for c in text) > 0))
             kinds = [pa.list_(pa.int32()), pa.bool_(), pa.bool_(), pa.bool_()]
             columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 4
-            arrays = [*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), batch.column(1)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["own", "insult", "address", "shout", "toxic"])
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["own", "insult", "address", "shout"])
 
     # At most ``sample_rows`` rows of a few numbers each.
-    rows = sample.select("text", "toxic").mapInArrow(look, "own array<int>, insult boolean, address boolean, shout boolean, toxic int")
+    rows = sample.select("text").mapInArrow(look, "own array<int>, insult boolean, address boolean, shout boolean")
     return sorted(tuple(r) for r in rows.collect())
 
 
-def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior of class 1 for each row of ``votes`` (1 toxic, -1 clean, 0 none; a column per voter), and the voters' weights.
+def _votes(rows: list[tuple[list[int], bool, bool, bool]], x: np.ndarray, mined: list[str]) -> np.ndarray:
+    """A column of votes per voter: the strongest features, two lexicons of the others, the insults, the patterns, and the lack of all features."""
+    lexicons = [[i for i in range(_VOTERS, len(mined)) if mined[i].endswith("*") == begins] for begins in (False, True)]
+    any_mined = x.any(1)
+    columns = [x[:, i] for i in range(min(_VOTERS, len(mined)))] + [x[:, i].any(1) for i in lexicons if i]
+    columns += [x[:, -1], *([np.array([r[k] for r in rows]) & any_mined for k in (2, 3)])]
+    return np.stack([np.where(c, 1, 0) for c in columns] + [np.where(any_mined, 0, -1)], 1)
+
+
+def label_model(votes: np.ndarray, share: float, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of class 1 for each row of ``votes`` (1 toxic, -1 clean, 0 none; a column per voter), and the voter that each voter depends
+    on (-1: none).
 
-    Expectation maximisation of P(vote | class), from the rows that ``start`` takes for toxic, twice: the correlations of
-    voters within the classes, which set their weights, are estimated at the start and again after the first pass.
+    Expectation maximisation of P(vote | class) from the ``share`` of rows with the most votes for toxic. From its posterior, the dependencies
+    between voters and P(vote | class, vote of the other voter) are estimated, and give the posterior that counts. (Going on from
+    there, the classes drift to whatever explains most votes; so they do in the first pass if copies of one bad voter outnumber the others.)
     """
-    kinds = (-1, 0, 1)
-    hits = np.stack([votes == k for k in kinds]).astype(np.float64)  # kind, row, voter
-    post = np.asarray(start, np.float64)  # in full: a mixture of the classes would show as correlation
-    for _ in range(2):
-        weights = _weights(votes, post)
-        post = np.where(start, 0.9, 0.1)
-        for _ in range(rounds):
-            both = np.stack([1 - post, post])  # class, row
-            chance = np.einsum("cr,krv->ckv", both, hits) + 0.1
-            chance /= chance.sum(1, keepdims=True)
-            share = min(max(post.mean(), 1e-4), 1 - 1e-4)
-            log = np.einsum("krv,ckv,v->cr", hits, np.log(chance), weights)
-            odds = log[1] - log[0] + math.log(share / (1 - share))
-            new = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
-            done = np.abs(new - post).max() < 1e-6
-            post = new
-            if done:
-                break
-    return post, weights
-
-
-def _weights(votes: np.ndarray, post: np.ndarray) -> np.ndarray:
-    """One over the sum of a voter's correlations with all voters inside the classes; below 0.1 they count as chance."""
-    total = np.zeros((votes.shape[1],) * 2)
-    for w in (1 - post, post):
-        centred = votes - (w @ votes) / max(w.sum(), 1e-9)
-        total += (centred * w[:, None]).T @ centred
-    scale = np.sqrt(np.maximum(np.diag(total), 1e-9))
-    shared = np.clip(np.abs(total / scale / scale[:, None]) - 0.1, 0, 1)
-    np.fill_diagonal(shared, 1)
-    return 1 / shared.sum(1)
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.05, rounds: int = 30) -> np.ndarray:
+    code = votes.astype(np.int64) + 1
+    rows, voters = code.shape
+    hits = np.zeros((rows, 3 * voters), np.float32)
+    hits[np.arange(rows)[:, None], 3 * np.arange(voters) + code] = 1
+    ayes = (code == 2).sum(1)
+    cut = np.sort(ayes)[::-1][min(rows - 1, int(share * rows))]
+    post = np.where(ayes >= max(cut, 1), 0.9, 0.1)
+    alone = np.full(voters, -1)
+    for _ in range(rounds):
+        new = _posterior(code, hits, post, alone)
+        done = np.abs(new - post).max() < 1e-4
+        post = new
+        if done:
+            break
+    parent = _dependencies(hits, post)
+    return _posterior(code, hits, post, parent), parent
+
+
+def _posterior(code: np.ndarray, hits: np.ndarray, post: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """The posterior under the parameters that the posterior ``post`` gives."""
+    share = min(max(post.mean(), 1e-4), 1 - 1e-4)
+    odds = np.full(len(code), math.log(share / (1 - share)))
+    for sign, joint in zip((-1, 1), _together(hits, post), strict=True):
+        for j, other in enumerate(parent.tolist()):
+            own = joint[j, :, j].diagonal() + 0.1
+            own = own / own.sum()
+            if other < 0:
+                odds += sign * np.log(own)[code[:, j]]
+            else:
+                given = joint[other, :, j] + own
+                odds += sign * np.log(given / given.sum(1, keepdims=True))[code[:, other], code[:, j]]
+    return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+
+
+def _together(hits: np.ndarray, post: np.ndarray) -> list[np.ndarray]:
+    """For either class, how often voter i votes a and voter j votes b, by [i, a, j, b]."""
+    voters = hits.shape[1] // 3
+    return [((hits * w[:, None].astype(np.float32)).T @ hits).astype(np.float64).reshape(voters, 3, voters, 3) for w in (1 - post, post)]
+
+
+def _dependencies(hits: np.ndarray, post: np.ndarray, least: float = 0.005) -> np.ndarray:
+    """The tree of voters with the greatest information about each other within the classes; ties below ``least`` nats are left out."""
+    voters, shared = hits.shape[1] // 3, 0.0
+    for joint in _together(hits, post):
+        own = np.einsum("iaia->ia", joint)
+        total = max(own[0].sum(), 1e-9)
+        expected = own[:, :, None, None] * own[None, None] / total
+        with np.errstate(divide="ignore", invalid="ignore"):
+            part = np.where(joint > 0, joint * np.log(joint / expected), 0.0)
+        shared = shared + part.sum((1, 3)) / len(hits)
+    parent, best, near = np.full(voters, -1), np.full(voters, -np.inf), np.full(voters, -1)
+    left = set(range(voters))
+    while left:
+        j = max(left, key=lambda i: (best[i], -i))
+        left.remove(j)
+        if best[j] >= least:
+            parent[j] = near[j]
+        closer = [i for i in left if shared[i, j] > best[i]]
+        best[closer], near[closer] = shared[closer, j], j
+    return parent
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) -> np.ndarray:
     """Weights (the last is the bias) for soft labels ``y``, by Newton steps with a ridge."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], penalty)
@@ -200,7 +241,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.05, rounds: int =
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, features: int = 400) -> Model:
     """Voters, label model and classifier from the labelled rows outside the held-out fold."""
     sample = _sample(docs, labels, sample_rows)
-    mined = _mine(sample, features)
+    mined, share = _mine(sample, features)
     if not mined:
         return _FALLBACK
     rows = _rows_of(sample, mined)
@@ -208,13 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, features:
     for r, (own, insult, *_) in enumerate(rows):
         x[r, own] = 1
         x[r, -1] = insult
-    lexicons = [[i for i in range(_VOTERS, len(mined)) if mined[i].endswith("*") == begins] for begins in (False, True)]
-    any_mined = x.any(1)
-    columns = [x[:, i] for i in range(min(_VOTERS, len(mined)))] + [x[:, i].any(1) for i in lexicons if i]
-    columns += [x[:, -1], *([np.array([r[k] for r in rows]) & any_mined for k in (2, 3)])]
-    votes = np.stack([np.where(c, 1, 0) for c in columns] + [np.where(any_mined, 0, -1)], 1).astype(np.float64)
-    toxic = np.array([r[4] for r in rows])
-    posterior, _ = label_model(np.hstack([votes, 2.0 * toxic[:, None] - 1]), toxic > 0)
+    posterior, _ = label_model(_votes(rows, x, mined), share)
     w = _logistic(x, posterior)
     return Model(float(w[-1]), dict(zip([*mined, "#insult"], map(float, w[:-1]), strict=True)))
 

@@ -3,7 +3,13 @@
 Addresses, phone, card, bank and social security numbers and dates are found in whole texts and validated (check digits, octets,
 calendar). Each becomes another valid value of its own format by a keyed permutation: a Feistel network over the ranks of the
 format's valid values, walked until it falls on a rank. Equal values become equal pseudonyms in every document and in every run with
-the same key, also where they are punctuated differently. The permutation is ``P(P^-1(x) + 1)``, so no value is its own pseudonym.
+the same key, also where they are punctuated differently or, for e-mail addresses, differ in case. Different values of one format
+stay different. The permutation is ``P(P^-1(x) + 1)``, so no value is its own pseudonym.
+
+A pseudonym is as long as its value, with digits, letters and separators in the same places: days, months and octets written with
+one digit keep one. Dates are those of the years 1900 to 2099; phone numbers have a country code, or the grouping 3-3-4, and 7 to 12
+digits without the code. Where numbers stand side by side, each is found: what isn't valid as a whole is looked at again from each
+of its groups of digits.
 
 One narrow pass, no shuffle. Defined cases: a null text stays null, an empty one empty; numbers that fail validation stay; texts are
 scanned whole; repeated rows give repeated results; other columns pass through unchanged.
@@ -14,11 +20,12 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +39,33 @@ _NUMBER = re.compile(
     r"|(?<![\w.])(?P<dmy>\d{1,2}([-/.])\d{1,2}\5\d{4})(?![\w]|[-/.]\d)"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w]|-\d)"
     r"|(?<![\w.])(?P<card>\d(?:[ -]?\d){12,18})(?![\w]|[ -]?\d)"
-    r"|(?<![\w.])(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}([ .-])\d{3}\9\d{4})(?!\w)",
+    r"|(?<![\w.])(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}([ .-])\d{3}\9\d{4})(?!\w|[.-]\d)",
     re.A,
 )
+# What a number may be whose longest reading isn't valid: cards in their usual groups, and the other kinds as above.
+_AGAIN = {
+    "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?!\w|-\d)", re.A),
+    "card": re.compile(r"(?<![\w.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{4,5})(?!\w)", re.A),
+    "phone": re.compile(
+        r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}([ .-])\d{3}\1\d{4})(?!\w|[.-]\d)",
+        re.A,
+    ),
+}
+_GROUP = re.compile(r"[+(]*\d+")
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049  # to the end of 2099
+KEY_SETTING = "spark.txrisk.pii.key"
+
+
+def configured_key(spark: SparkSession) -> bytes:
+    """The key that ``spark.txrisk.pii.key`` names; without it a public one for trials, with which anybody can undo the pseudonyms."""
+    return spark.conf.get(KEY_SETTING, "trial key, not secret").encode()
+
+
+@lru_cache(4)
+def _days(month_width: int, day_width: int) -> list[int]:
+    """The days from 1900 to 2099 that can be written with so many digits for month and day."""
+    every = (datetime.date.fromordinal(_FIRST_DAY + i) for i in range(_DAYS))
+    return [d.toordinal() for d in every if d.month < 10**month_width and d.day < 10**day_width]
 
 
 class Permutation:
@@ -114,7 +144,9 @@ class Pseudonyms:
         local, _, domain = text.partition("@")
         # A short local part has few pseudonyms, the domain's first label adds more; the rest of the domain stays.
         label, _, rest = domain.partition(".")
-        return self._by_class("email", f"{local}@{label}") + f".{rest}"
+        named = f"{local}@{label}"
+        new = self._by_class("email", named.lower())
+        return "".join(n.upper() if c.isupper() else n for c, n in zip(named, new)) + f".{rest}"
 
     def _iban(self, text: str) -> str | None:
         plain = text.replace(" ", "")
@@ -125,11 +157,20 @@ class Pseudonyms:
         return _relaid(text, f"{body[:2]}{98 - check(body):02}{body[4:]}")
 
     def _ip(self, text: str) -> str | None:
-        parts = [int(p) for p in text.split(".")]
-        if max(parts) > 255:
+        parts = text.split(".")
+        if max(map(int, parts)) > 255:
             return None
-        number = self.permutation("ip", 1 << 32)(int.from_bytes(bytes(parts), "big"))
-        return ".".join(map(str, number.to_bytes(4, "big")))
+        # Octets stay among those of as many digits; with a leading zero, among those too.
+        ranges = [((0 if p[0] == "0" else 10 ** (len(p) - 1)) if len(p) > 1 else 0, 10 ** (len(p) - (p[0] == "0" and len(p) > 1))) for p in parts]
+        ranges = [(first, min(end, 256)) for first, end in ranges]
+        rank, size = 0, 1
+        for p, (first, end) in zip(parts, ranges):
+            rank, size = rank * (end - first) + int(p) - first, size * (end - first)
+        rank, out = self.permutation("ip:" + ",".join(f"{len(p)}{p[0] == '0'}" if len(p) > 1 else "1" for p in parts), size)(rank), []
+        for p, (first, end) in reversed(list(zip(parts, ranges))):
+            rank, d = divmod(rank, end - first)
+            out.append(f"{first + d:0{len(p)}}")
+        return ".".join(reversed(out))
 
     def _card(self, text: str) -> str | None:
         digits = re.sub(r"\D", "", text)
@@ -154,25 +195,46 @@ class Pseudonyms:
         area, group = divmod(rank, 99)
         return f"{area + 1 + (area >= 665):03}-{group + 1:02}-{serial + 1:04}"
 
-    def _day(self, year: int, month: int, day: int) -> datetime.date | None:
+    def _day(self, year: int, month: str, day: str) -> tuple[str, str, str] | None:
+        """Year, month and day of the pseudonym, as wide as they were."""
         try:
-            rank = datetime.date(year, month, day).toordinal() - _FIRST_DAY
+            own = datetime.date(year, int(month), int(day)).toordinal()
         except ValueError:
             return None
-        return datetime.date.fromordinal(_FIRST_DAY + self.permutation("date", _DAYS)(rank)) if 0 <= rank < _DAYS else None
+        days = _days(len(month), len(day))
+        rank = bisect_left(days, own)
+        if rank == len(days) or days[rank] != own:
+            return None
+        name = "date" if len(month) == len(day) == 2 else f"date{len(month)}{len(day)}"
+        new = datetime.date.fromordinal(days[self.permutation(name, len(days))(rank)])
+        return str(new.year), f"{new.month:0{len(month)}}", f"{new.day:0{len(day)}}"
 
     def _iso(self, text: str) -> str | None:
         sep = text[4]
-        day = self._day(*map(int, text.split(sep)))
-        return day and f"{day.year}{sep}{day.month:02}{sep}{day.day:02}"
+        year, month, day = text.split(sep)
+        return (new := self._day(int(year), month, day)) and sep.join(new)
 
     def _dmy(self, text: str) -> str | None:
         """With slashes the month comes first where that is valid; with points and hyphens the day does."""
         sep = re.search(r"[-/.]", text)[0]
-        a, b, year = map(int, text.split(sep))
-        month_first = sep == "/" and a <= 12
-        day = self._day(year, *((a, b) if month_first else (b, a)))
-        return day and sep.join([f"{x:02}" for x in ((day.month, day.day) if month_first else (day.day, day.month))] + [str(day.year)])
+        a, b, year = text.split(sep)
+        month_first = sep == "/" and int(a) <= 12
+        if not (new := self._day(int(year), *((a, b) if month_first else (b, a)))):
+            return None
+        return sep.join([*((new[1], new[2]) if month_first else (new[2], new[1])), new[0]])
+
+    def number(self, text: str, m: re.Match[str], limit: int, inner: bool) -> tuple[int, str, str] | None:
+        """End, kind and pseudonym of the number that starts where ``m`` does, if one of its readings is valid.
+
+        ``inner`` says that it starts inside one that isn't valid; a card in odd groups would be found there by chance.
+        """
+        kind = m.lastgroup or next(k for k, v in m.groupdict().items() if v)
+        if not (inner and kind == "card") and (new := self.value(kind, m[0])):
+            return m.end(), kind, new
+        for kind, pattern in _AGAIN.items():
+            if (again := pattern.match(text, m.start(), limit)) and (new := self.value(kind, again[0])):
+                return again.end(), kind, new
+        return None
 
 
 def find_and_replace(text: str, names: Pseudonyms) -> tuple[str, list[str]]:
@@ -190,12 +252,13 @@ def find_and_replace(text: str, names: Pseudonyms) -> tuple[str, list[str]]:
     for run in _RUN.finditer(text):
         if run.end() - run.start() < 7:
             continue
-        at, end = run.start(), min(run.end() + 2, len(text))
+        at, end, failed = run.start(), min(run.end() + 2, len(text)), 0
         while m := _NUMBER.search(text, at, end):
-            kind = m.lastgroup or next(k for k, v in m.groupdict().items() if v)
-            if new := names.value(kind, m[0]):
-                found.append((m.start(), m.end(), "date" if kind in ("iso", "dmy") else kind, new))
-            at = m.end()
+            if number := names.number(text, m, end, m.start() < failed):
+                at, kind, new = number
+                found.append((m.start(), at, "date" if kind in ("iso", "dmy") else kind, new))
+            else:
+                at, failed = _GROUP.match(text, m.start(), end).end(), max(failed, m.end())
     parts, spans, done = [], [], 0
     for start, end, kind, new in sorted(found):
         if start >= done:

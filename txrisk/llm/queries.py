@@ -11,7 +11,7 @@ from txrisk.llm.common import table
 from txrisk.llm.op01_html import extract_main_text
 from txrisk.llm.op02_packing import pack, with_lengths
 from txrisk.llm.op03_warc import archive_round_trip
-from txrisk.llm.op04_pii import pseudonymise
+from txrisk.llm.op04_pii import configured_key, pseudonymise
 from txrisk.llm.op05_search import search
 from txrisk.llm.op06_near_dedup import near_duplicates
 from txrisk.llm.op07_secrets import find_secrets
@@ -23,8 +23,6 @@ from txrisk.llm.op12_runs import periodic_runs
 from txrisk.llm.op13_negatives import hard_negatives, usable
 from txrisk.llm.oracle import ORACLE as ORACLE
 
-PII_KEY = b"change me: whoever knows the key can undo the pseudonyms"
-
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
@@ -39,7 +37,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, spans_column="spans")
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), configured_key(spark), spans_column="spans")
 
 
 def op5_search(spark: SparkSession, sf_dir: str) -> DataFrame:

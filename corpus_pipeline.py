@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from txrisk.llm.common import kept, table
 from txrisk.llm.op02_packing import pack, with_lengths
-from txrisk.llm.op04_pii import pseudonymise
+from txrisk.llm.op04_pii import configured_key, pseudonymise
 from txrisk.llm.op06_near_dedup import without_near_duplicates
 from txrisk.llm.op09_decontamination import without_contaminated
 from txrisk.llm.op10_toxicity import without_toxic
-from txrisk.llm.queries import PII_KEY
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +36,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become pseudonyms; ``n_chars`` follows the new text, null where there is none."""
-    return pseudonymise(docs, PII_KEY).withColumn("n_chars", F.length("text").cast("long"))
+    return pseudonymise(docs, configured_key(spark)).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,23 @@ SELECT words.doc_id, coalesce(n, 0) AS n_shingles, component_id{more}
 FROM words LEFT JOIN sizes USING (r) LEFT JOIN least_id USING (r)
 """
 
+# The digest in base 32: four letters for every five hexadecimal digits.
+_ARCHIVED = """
+WITH payloads AS (SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+digests AS (
+  SELECT *, array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))) & 31) + 1)::INTEGER, 1)
+    FOR i IN range(32)], '') AS payload_digest, min(page_id) OVER (PARTITION BY payload) AS first_id
+  FROM payloads
+)
+SELECT page_id, octet_length(encode(payload)) AS payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to, url
+FROM digests
+"""
+
 ORACLE: dict[str, str] = {
+    "op3_warc": _ARCHIVED,
+    "op6_near_duplicates": _LINKED.format(words=2, more=", words.doc_id = component_id AS kept"),
     "op11_overlap_join": _LINKED.format(words=5, more=""),
     "op13_hard_negatives": """
 WITH vectors AS (

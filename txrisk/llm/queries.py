@@ -47,7 +47,7 @@ def op5_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from txrisk.functions.columns import named
 from txrisk.session import materialise
 
 METRIC_NAMES = ["accuracy", "precision", "recall", "f1", "roc_auc"]
+Keep = Callable[[DataFrame], DataFrame]
 SCORES_PER_RANGE = 1_000_000
 
 
@@ -55,9 +56,9 @@ def _per_score(scored: DataFrame, label: str, scores: Mapping[str, str]) -> Data
     )
 
 
-def _areas(per_score: DataFrame, ranges: int) -> DataFrame:
+def _areas(per_score: DataFrame, ranges: int, keep: Keep = materialise) -> DataFrame:
     """``(model, roc_auc)`` from ``_per_score`` cut into ``ranges`` ranges by (model, score)."""
-    ranged = materialise(per_score.repartitionByRange(ranges, "model", "score").withColumn("range", F.spark_partition_id()))
+    ranged = keep(per_score.repartitionByRange(ranges, "model", "score").withColumn("range", F.spark_partition_id()))
     totals = ranged.groupBy("model", "range").agg(F.sum("neg").alias("_neg"))
     before = Window.partitionBy("model").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("model", "range", F.coalesce(F.sum("_neg").over(before), F.lit(0)).alias("offset"))
@@ -89,19 +90,20 @@ def roc_auc(scored: DataFrame, label: str, score: str, ranges: int | None = None
     return _areas(per_score, ranges or _ranges_for(per_score)).agg(F.max("roc_auc").alias("roc_auc"))
 
 
-def evaluate(scored: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
+def evaluate(scored: DataFrame, label: str, score: str, threshold: float = 0.5, keep: Keep = materialise) -> DataFrame:
     """All metrics in one row, from one scan."""
-    return compare_models(scored, label, {"score": score}, threshold).drop("model")
+    return compare_models(scored, label, {"score": score}, threshold, keep).drop("model")
 
 
-def compare_models(scored: DataFrame, label: str, scores: Mapping[str, str], threshold: float = 0.5) -> DataFrame:
+def compare_models(scored: DataFrame, label: str, scores: Mapping[str, str], threshold: float = 0.5, keep: Keep = materialise) -> DataFrame:
     """One ``evaluate`` row per model; ``scores`` maps a model name to its score column.
 
     One scan of ``scored`` counts the classes per model and distinct score; all metrics of all models come from those counts.
+    ``keep`` holds the counts, ``Scratch.keep`` for an owner who ends them.
     """
     if not scores:
         raise ValueError("No models to compare")
-    per_score = materialise(_per_score(scored, label, scores))
+    per_score = keep(_per_score(scored, label, scores))
     above = F.col("score") > threshold
     counts = per_score.groupBy("model").agg(
         F.sum(F.col("pos") + F.col("neg")).alias("n"),
@@ -112,4 +114,4 @@ def compare_models(scored: DataFrame, label: str, scores: Mapping[str, str], thr
     models = scored.sparkSession.createDataFrame([(m,) for m in scores], "model string")
     # A model without any known score has a row of its own, of no rows.
     rows = models.join(counts, "model", "left").fillna(0, ["n", "tp", "fp", "fn"])
-    return rows.join(_areas(per_score, _ranges_for(per_score)), "model", "left").select("model", *_ratios(), "roc_auc")
+    return rows.join(_areas(per_score, _ranges_for(per_score), keep), "model", "left").select("model", *_ratios(), "roc_auc")

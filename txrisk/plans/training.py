@@ -20,7 +20,7 @@ from txrisk.operators.train import LABEL, random_forest, training_set, with_prob
 from txrisk.operators.validate import require_columns, validate_transactions
 from txrisk.plans.features import Vectors, fit_vectors, rfm_features
 from txrisk.schema import CUSTOMER
-from txrisk.session import materialise, release
+from txrisk.session import Scratch, materialise
 from txrisk.sources.artifacts import Artifacts, save_artifacts
 from txrisk.sources.tables import log_run
 
@@ -72,30 +72,28 @@ def train_risk_model(
     """Train and evaluate; without ``labels`` the proxy label is derived from the same customers.
 
     ``only_valid`` leaves out the transactions that scoring would refuse, for example those with a negative amount.
-    Runs jobs: the roll-up is computed once and kept, then read for fitting, labelling and training.
+    Runs jobs: the roll-up is computed once and kept, then read for fitting, labelling and training. Of what it keeps, only the
+    scored test rows outlive the run; ``release`` them when they are read.
     """
     require_columns(tx)
     spark = tx.sparkSession
     if only_valid:
         tx = validate_transactions(tx).accepted
-    customers = materialise(customer_features(tx, reference))
-    kept = [customers]
-    if labels is None:
-        kept.append(materialise(rfm_features(customers)))
-        labels = rfm_labels(kept[-1], seed=seed)
-    labels = materialise(labels)
-    vectors, made = labelled_vectors(customers, labels, "B", test_share, seed, fit_on, max_categories)
-    vectors = materialise(vectors)
-    estimator = estimator or random_forest(seed=seed)
-    model = estimator.fit(vectors.where(F.col("split") == "train").select("features", named(LABEL)))
-    scored = materialise(with_probability(model, vectors.where(F.col("split") == "test")).drop("split"))
-    metrics = evaluate(scored, LABEL, "risk_probability").first().asDict()
-    artifacts = Artifacts(made.fitted, made.manifest, model, "B")
-    if artifact_path:
-        save_artifacts(spark, artifact_path, artifacts)
-    if run_log_path:
-        params = {p.name: v for p, v in estimator.extractParamMap().items()}
-        log_run(spark, run_log_path, uuid4().hex, params, {m: metrics[m] for m in METRIC_NAMES}, run_name)
-    for frame in (*kept, labels, vectors):
-        release(frame)
+    with Scratch() as own:
+        customers = own.keep(customer_features(tx, reference))
+        if labels is None:
+            labels = rfm_labels(own.keep(rfm_features(customers)), seed=seed)
+        labels = own.keep(labels)
+        vectors, made = labelled_vectors(customers, labels, "B", test_share, seed, fit_on, max_categories)
+        vectors = own.keep(vectors)
+        estimator = estimator or random_forest(seed=seed)
+        model = estimator.fit(vectors.where(F.col("split") == "train").select("features", named(LABEL)))
+        scored = materialise(with_probability(model, vectors.where(F.col("split") == "test")).drop("split"))
+        metrics = evaluate(scored, LABEL, "risk_probability", keep=own.keep).first().asDict()
+        artifacts = Artifacts(made.fitted, made.manifest, model, "B")
+        if artifact_path:
+            save_artifacts(spark, artifact_path, artifacts)
+        if run_log_path:
+            params = {p.name: v for p, v in estimator.extractParamMap().items()}
+            log_run(spark, run_log_path, uuid4().hex, params, {m: metrics[m] for m in METRIC_NAMES}, run_name)
     return TrainingRun(artifacts, {m: metrics[m] for m in METRIC_NAMES}, scored)

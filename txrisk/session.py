@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from types import TracebackType
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -40,14 +41,22 @@ def materialise(df: DataFrame) -> DataFrame:
 
     Where the cluster names a shared folder in ``spark.checkpoint.dir`` the rows become a Parquet table in it: lineage is
     cut, a lost executor costs a re-read, and later jobs prune columns. Elsewhere the frame is persisted (lazily), and
-    lost blocks are recomputed from lineage. ``release`` gives the storage of a persisted frame back.
+    lost blocks are recomputed from lineage. ``release`` gives the storage back; a table that cannot be written whole leaves
+    nothing behind.
     """
     folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
     if not folder:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = f"{folder.rstrip('/')}/txrisk-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    try:
+        df.write.parquet(path)
+    except BaseException:
+        _delete(df.sparkSession, path)
+        raise
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made._scratch_path = path
+    _READERS[path] = 1
+    return made
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -60,7 +69,54 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/txrisk-{name}-{uuid.uuid4().hex}"
 
 
+def retain(df: DataFrame) -> DataFrame:
+    """One more reader of a frame from ``materialise``: it takes one more ``release`` to give it back."""
+    path = getattr(df, "_scratch_path", None)
+    if path in _READERS:
+        _READERS[path] += 1
+    return df
+
+
 def release(df: DataFrame) -> None:
-    """Unpersist a frame from ``materialise``; tables in the shared folder are left to the cluster's own clean-up."""
-    if df.is_cached:
+    """Give back a frame from ``materialise``: persisted blocks at once, a table when its last reader releases it.
+
+    Frames derived from it must not be computed afterwards. Any other frame is left alone.
+    """
+    path = getattr(df, "_scratch_path", None)
+    if path in _READERS:
+        _READERS[path] -= 1
+        if not _READERS[path]:
+            del _READERS[path]
+            _delete(df.sparkSession, path)
+    elif path is None and df.is_cached:
         df.unpersist()
+
+
+class Scratch:
+    """Owner of the intermediate results of a job, which end with it: ``with Scratch() as own: table = own.keep(df)``.
+
+    All that it has kept is released at its end, also after an error, the latest first. ``retain`` a frame that lives on.
+    """
+
+    def __init__(self) -> None:
+        self._kept: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self._kept.append(materialise(df))
+        return self._kept[-1]
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, kind: type[BaseException] | None, error: BaseException | None, trace: TracebackType | None) -> None:
+        while self._kept:
+            release(self._kept.pop())
+
+
+# How many readers each table of ``materialise`` has.
+_READERS: dict[str, int] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

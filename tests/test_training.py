@@ -45,6 +45,12 @@ def test_training_set_drops_unlabelled_customers_and_the_id(spark):
     assert "Join Inner" in plan and "LeftOuter" not in plan
 
 
+def test_vectors_are_dealt_to_all_cores_and_deep_trees_keep_their_nodes(spark, vectors):
+    assert vectors.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    assert all(r[0] > 0 for r in vectors.groupBy(F.spark_partition_id()).count().select("count").collect())
+    assert train.default_random_forest().getCacheNodeIds()
+
+
 def test_several_models(vectors):
     fit_rows = vectors.where("split = 'train'")
     models = train.train_models(

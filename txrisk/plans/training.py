@@ -24,6 +24,8 @@ from txrisk.session import Scratch, materialise
 from txrisk.sources.artifacts import Artifacts, save_artifacts
 from txrisk.sources.tables import log_run
 
+TASK_CUSTOMERS = 100_000  # vectors that one task trains on and scores
+
 
 class TrainingRun(NamedTuple):
     artifacts: Artifacts
@@ -42,7 +44,7 @@ def labelled_vectors(
 ) -> tuple[DataFrame, Vectors]:
     """``(frame, vectors)``: id, label, split and feature vector per labelled customer, with what was fitted.
 
-    Both inputs should be materialised. The preparation is fitted on all customers, or with ``fit_on="train"`` on those of
+    The frame is dealt to a partition per core at least. Both inputs should be materialised. The preparation is fitted on all customers, or with ``fit_on="train"`` on those of
     the training part only; the split is the same either way.
     """
     split = stratified_split(training_set(customers.select(CUSTOMER), labels, keep_id=True), LABEL, CUSTOMER, test_share, seed)
@@ -52,7 +54,9 @@ def labelled_vectors(
     if fit_on == "train":
         base = customers.join(split.where(F.col("split") == "train").select(CUSTOMER), CUSTOMER, "left_semi")
     made = fit_vectors(customers, feature_set, max_categories, fit_on=base)
-    return made.rows.join(split, CUSTOMER), made
+    # Vectors are small and training reads them many times: Spark would leave them in one partition, and the fit to one task.
+    tasks = max(customers.sparkSession.sparkContext.defaultParallelism, -(-customers.count() // TASK_CUSTOMERS))
+    return made.rows.join(split, CUSTOMER).repartition(tasks, CUSTOMER), made
 
 
 def train_risk_model(

@@ -8,6 +8,7 @@ import math
 import re
 import subprocess
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -153,6 +154,30 @@ def test_search(docs, none):
     assert op05_search.search(none, queries).count() == 0 and op05_search.search(docs, none.withColumnRenamed("doc_id", "query_id")).count() == 0
 
 
+def test_search_in_small_shards(docs):
+    queries = docs.where("doc_id in (0, 3, 5, 20)").distinct().withColumnRenamed("doc_id", "query_id")
+    found = [sorted(map(str, op05_search.search(docs.coalesce(1), queries, k=4, **more).collect())) for more in ({}, {"shard_text": 100})]
+    assert found[0] == found[1] and found[0]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([4, None, 6, 7]), "text": ["a b", "c" * 30, "", "d a a"]})
+    shards = list(op05_search._shards(iter([batch, batch]), 10))
+    assert [s["ids"].tolist() for s in shards] == [[4], [(1 << 63) - 1], [6, 7, 4], [(1 << 63) - 1], [6, 7]]
+    assert sorted(shards[4]["count"].tolist()) == [1, 2] and shards[4]["doc"].tolist() == [1, 1]
+
+
+def test_search_memory_of_a_shard():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.2, 400) % 5000) for _ in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1000)), "text": texts})
+    (index,) = op05_search._shards(iter([batch]), 1 << 24)
+    data = op05_search._save(**index)
+    tracemalloc.start()
+    shard = op05_search.Shard(data, 400.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Document, frequency, impact and what bounds them; every array of the index is read from its file once.
+    assert peak < 48 * len(shard.doc) and shard.blocks == 16
+
+
 def near_brute(rows, k):
     sets = {}
     for i, t in rows:
@@ -249,6 +274,7 @@ def test_words_alone_have_the_ids_of_their_text(monkeypatch):
 
 READER = """
 import sys
+import tracemalloc
 from txrisk.llm.op08_rans import read_token_files
 from txrisk.session import spark_session
 spark = spark_session(**{"spark.master": "local[2]", "spark.ui.enabled": "false", "spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1"})

@@ -1,12 +1,13 @@
 """Exact BM25 top k by block-max pruning over an inverted index in shards.
 
-Every partition of the documents becomes a shard: an index file with the postings of its documents in order of term, and the bounds
-of blocks of ``BLOCK`` documents within them. Statistics (number and mean length of documents, documents per term) are global. A query
+Every partition of the documents becomes one or more shards of at most ``shard_text`` characters (or one longer text): an index file with the
+postings of its documents in order of term, and the bounds of blocks of ``BLOCK`` documents within them. Statistics (number and mean length of documents, documents per term) are global. A query
 weighs its terms, adds up the greatest impacts of its terms in each block, and takes blocks from the greatest bound down, in
 portions; it stops at the first whose bound is below the k-th best score so far. The best k of all shards are merged; as weights are global, the result is exact.
 
 At scale: postings are never shuffled, only (term, documents) counts of each shard and the best k of each query and shard. A task
-holds a shard and a block of ``query_rows`` queries. Queries from the corpus grow with it, so the work of that use grows with
+holds a shard and a block of ``query_rows`` queries, so its memory depends on neither the table nor its partitions; postings are scored
+``POSTINGS`` or a block of documents at a time. Queries from the corpus grow with it, so the work of that use grows with
 the square of the corpus; pruning makes it less, not linear.
 
 Defined cases: terms are lower-case runs between white space; a query without known terms has no results; documents without terms
@@ -28,6 +29,7 @@ from txrisk.llm.common import kept, new_path
 from txrisk.llm.files import read_file, write_file
 
 BLOCK, K1, B = 64, 0.9, 0.4
+POSTINGS = 1 << 18
 
 
 def terms_of(text: str) -> np.ndarray:
@@ -42,31 +44,62 @@ def _save(**arrays: np.ndarray) -> bytes:
     return out.getvalue()
 
 
-def _index(doc_ids: list[int | None], texts: list[str]) -> dict[str, np.ndarray]:
+def _counted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The distinct terms of each text and how often it has them."""
+    found = (np.unique(terms_of(t), return_counts=True) for t in texts)
+    return [(term, count.astype(np.int32)) for term, count in found]
+
+
+def _index(doc_ids: list[int | None], found: list[tuple[np.ndarray, np.ndarray]]) -> dict[str, np.ndarray]:
     """Postings (document, frequency) by term; terms are sorted, and documents within a term."""
-    terms = [terms_of(t) for t in texts]
-    lengths = np.array([len(t) for t in terms], np.int64)
-    found = [np.unique(t, return_counts=True) for t in terms]
+    lengths = np.array([count.sum() for _, count in found], np.int64)
     term = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-    doc = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-    count = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
     order = np.argsort(term, kind="stable")
-    names, first = np.unique(term[order], return_index=True)
+    term = term[order]
+    first = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
+    names, first = term[first], np.append(first, len(term))
+    doc = np.repeat(np.arange(len(found), dtype=np.int32), [len(f[0]) for f in found])[order]
+    count = (np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int32))[order]
     ids = np.array([d if d is not None else np.iinfo(np.int64).max for d in doc_ids], np.int64)
-    return {"terms": names, "first": np.append(first, len(term)), "doc": doc[order].astype(np.int32), "count": count[order].astype(np.int32), "lengths": lengths, "ids": ids}
+    return {"terms": names, "first": first, "doc": doc, "count": count, "lengths": lengths, "ids": ids}
+
+
+def _shards(batches: Iterator[pa.RecordBatch], shard_text: int) -> Iterator[dict[str, np.ndarray]]:
+    """The indexes of the documents (doc_id, text) of a task; texts go as soon as their terms are counted."""
+    ids, found, size = [], [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK):
+            part = batch.slice(at, BLOCK)
+            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                if ids and size + len(text) > shard_text:
+                    yield _index(ids, found)
+                    ids, found, size = [], [], 0
+                ids.append(doc_id)
+                found += _counted([text])
+                size += len(text)
+    if ids:
+        yield _index(ids, found)
 
 
 class Shard:
     def __init__(self, data: bytes, mean_length: float):
         with np.load(io.BytesIO(data)) as a:
             self.terms, first, doc, count, lengths, self.ids = (a[k] for k in ("terms", "first", "doc", "count", "lengths", "ids"))
-        self.doc = doc.astype(np.int64)
-        self.impact = count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[self.doc] / mean_length))
+        # In place where it can be: a shard has millions of postings.
+        self.doc, self.impact = doc, count.astype(float)
+        whole = (K1 * (1 - B + B * lengths / mean_length))[doc]
+        whole += self.impact
+        self.impact *= K1 + 1
+        self.impact /= whole
         # Runs of postings of one term in one block of documents.
-        owner = np.repeat(np.arange(len(self.terms)), np.diff(first))
-        block = self.doc // BLOCK
-        change = np.flatnonzero(np.diff(owner, prepend=-1) | np.diff(block, prepend=-1))
+        block = doc // BLOCK
+        start = np.ones(len(doc), bool)
+        start[1:] = block[1:] != block[:-1]
+        start[first[:-1]] = True
+        change = np.flatnonzero(start)
         self.run_at, self.run_block = np.append(change, len(doc)), block[change]
+        if len(lengths) <= BLOCK << 16:
+            self.run_block = self.run_block.astype(np.uint16)  # sorted by digits
         self.run_most = np.maximum.reduceat(self.impact, change) if len(change) else np.zeros(0)
         self.term_run = np.searchsorted(change, first)
         self.blocks = -(-len(lengths) // BLOCK)
@@ -86,14 +119,17 @@ class Shard:
         order = np.argsort(-bound, kind="stable")
         by_block = np.argsort(self.run_block[runs], kind="stable")
         runs, weight = runs[by_block], weight[by_block]
-        cut = np.searchsorted(self.run_block[runs], np.arange(self.blocks + 1))
+        cut = np.append(0, np.cumsum(np.bincount(self.run_block[runs], minlength=self.blocks)))
+        posts = np.append(0, np.cumsum(self.run_at[runs + 1] - self.run_at[runs]))[cut]
+        posts = posts[1:] - posts[:-1]  # of the query's terms in each block
         # Blocks in growing portions: few while the k-th best score is still low, many at once when most are ruled out.
         scores, ids, least, at, portion = np.zeros(0), np.zeros(0, np.int64), 0.0, 0, 4
         order = order[bound[order] > 0]
         while at < len(order) and bound[order[at]] >= least:
             chosen = order[at : at + portion]
+            chosen = chosen[: max(1, int(np.searchsorted(np.cumsum(posts[chosen]), POSTINGS, "right")))]
+            at, portion = at + len(chosen), portion * 4
             chosen = np.sort(chosen[bound[chosen] >= least])
-            at, portion = at + portion, portion * 4
             lo, hi = cut[chosen], cut[chosen + 1]
             own = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(int((hi - lo).sum()))
             first = self.run_at[runs[own]]
@@ -108,23 +144,17 @@ class Shard:
         return list(zip(scores.tolist(), ids.tolist(), strict=True))
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, query_rows: int = 512) -> DataFrame:
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, query_rows: int = 512, shard_text: int = 1 << 24) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best documents for each (query_id, text) of ``queries``."""
     spark, folder = docs.sparkSession, new_path(docs.sparkSession, "search")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts = [], []
-        for batch in batches:
-            ids += batch.column(0).to_pylist()
-            texts += batch.column(1).to_pylist()
-        if not ids:
-            return
-        index = _index(ids, texts)
-        path = write_file(folder, ".npz", _save(**index))
-        head = [pa.array([path]), pa.array([0]), pa.array([len(ids)]), pa.array([int(index["lengths"].sum())])]
-        yield pa.RecordBatch.from_arrays(head, names=["path", "term", "n", "length"])
-        df = np.diff(index["first"])
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(df), pa.string()), pa.array(index["terms"]), pa.array(df), pa.nulls(len(df), pa.int64())], names=["path", "term", "n", "length"])
+        for index in _shards(batches, shard_text):
+            path = write_file(folder, ".npz", _save(**index))
+            head = [pa.array([path]), pa.array([0]), pa.array([len(index["ids"])]), pa.array([int(index["lengths"].sum())])]
+            yield pa.RecordBatch.from_arrays(head, names=["path", "term", "n", "length"])
+            df = np.diff(index["first"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(df), pa.string()), pa.array(index["terms"]), pa.array(df), pa.nulls(len(df), pa.int64())], names=["path", "term", "n", "length"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     built = kept(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(build, "path string, term long, n long, length long"), "index")
@@ -171,6 +201,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, query_rows: int = 5
         for batch in batches:
             for path, asked_path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if loaded is None or loaded[0] != path:
+                    loaded = None  # not two shards at once
                     loaded = (path, Shard(read_file(path), mean))
                 with np.load(io.BytesIO(read_file(asked_path))) as a:
                     ids, cut, terms, weights = (a[x] for x in ("ids", "cut", "terms", "weights"))

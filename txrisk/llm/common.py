@@ -11,6 +11,9 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SMALL = 1_000_000  # rows of two numbers that may go to every executor
+KEYS = 4_000_000  # rows of one number
+
 # One folder per driver process below the shared folder, removed when the driver ends.
 _RUN = f"txrisk-llm-{uuid.uuid4().hex}"
 _FOLDERS: dict[str, str] = {}
@@ -68,6 +71,11 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return written(df, new_path(df.sparkSession, name))
 
 
+def small(df: DataFrame, rows: int = SMALL) -> DataFrame:
+    """``df``, a kept table of two or three numbers or short names a row, to be sent to every executor if it has at most ``rows`` rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The frame that ``build`` returns, written as a table; all paths made on the way to it are deleted, after an error as well.
 

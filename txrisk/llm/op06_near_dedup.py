@@ -29,10 +29,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import kept, new_path, remove, settled, written
+from txrisk.llm.common import KEYS, kept, new_path, remove, settled, small, written
 from txrisk.llm.components import components
 
 WIDTH = 128
+# How many of the two half bytes of each byte are 0.
+_ZEROS = np.array([(not x & 15) + (not x >> 4) for x in range(256)], np.uint8)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SEEDS = np.random.default_rng(20240607).integers(0, 1 << 63, (2, WIDTH), dtype=np.uint64)
 _A, _B = _SEEDS[0] * np.uint64(2) + np.uint64(1), _SEEDS[1]
@@ -67,12 +69,18 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def low_bits(tokens: np.ndarray) -> np.ndarray:
+    """The lowest four bits of each token, two to a byte: different tokens agree in them once in 16."""
+    low = tokens.astype(np.uint8) & 15
+    return low[: WIDTH // 2] | low[WIDTH // 2 :] << 4
+
+
 def _sid(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, sid (128 bits that name the set; null for an empty one), the minwise tokens, and their low bytes."""
+    """doc_id, text_hash, n_shingles, sid (128 bits that name the set; null for an empty one), the minwise tokens, and their low bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +91,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 n.append(len(own))
                 sids.append(_sid(own) if len(own) else None)
                 tokens.append(None if least is None else least.tobytes())
-                short.append(None if least is None else least.astype(np.uint8).tobytes())
+                short.append(None if least is None else low_bits(least).tobytes())
             columns = [batch.column(0), batch.column(2), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in (sids, tokens, short))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n_shingles", "sid", "tokens", "short"])
 
@@ -150,12 +158,12 @@ def _open_nodes(level: DataFrame) -> DataFrame:
     return rows.join(sizes, F.col("node") == F.col("of_node")).select("node", "sid", "comp", "n")
 
 
-def _nodes(vertices: DataFrame, trees: range, threshold: float, leaf: int, depth: int) -> DataFrame:
+def _nodes(labelled: DataFrame, vertices: DataFrame, trees: range, threshold: float, leaf: int, depth: int) -> DataFrame:
     """(node, sid, comp, n) of the nodes at which the trees end; n is their number of documents.
 
     Nodes whose documents are of one component have nothing to find, and go at once.
     """
-    level, ended = _first_level(vertices, trees, threshold), []
+    level, ended = _first_level(labelled, trees, threshold), []
     for k in range(depth):
         rows = settled(vertices.sparkSession, "nodes", partial(_open_nodes, level))
         if k == depth - 1:
@@ -220,7 +228,7 @@ def _joined(root: np.ndarray, left: list[np.ndarray], right: list[np.ndarray]) -
 def _candidates(rows: DataFrame, at_least: float) -> DataFrame:
     """(cluster, sid) of documents in one group whose tokens agree enough; linear in the documents.
 
-    ``rows``: grp, sid, comp, short (the low bytes of the tokens). Pairs within one component are left out.
+    ``rows``: grp, sid, comp, short (the low bits of the tokens). Pairs within one component are left out.
     """
     needed = int(np.ceil(at_least * WIDTH))
 
@@ -230,7 +238,7 @@ def _candidates(rows: DataFrame, at_least: float) -> DataFrame:
             group = batch.column(0).to_numpy(zero_copy_only=False)
             sids = batch.column(1).to_pylist()
             comp = batch.column(2).to_numpy(zero_copy_only=False)
-            short = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, WIDTH)
+            short = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, WIDTH // 2)
             near, root = np.arange(n), np.arange(n)
             left, right, waiting = [], [], 0
             for d in range(1, n):
@@ -242,7 +250,7 @@ def _candidates(rows: DataFrame, at_least: float) -> DataFrame:
                 # Within a cluster another pair adds nothing.
                 i = near[(comp[near] != comp[near + d]) & (root[near] != root[near + d])]
                 for part in np.array_split(i, len(i) // 20_000 + 1):
-                    like = part[(short[part] == short[part + d]).sum(1) >= needed]
+                    like = part[_ZEROS[short[part] ^ short[part + d]].sum(1) >= needed]
                     left.append(like)
                     right.append(like + d)
                     waiting += len(like)
@@ -327,8 +335,8 @@ def _confirmed(clusters: DataFrame, vertices: DataFrame, docs: DataFrame, words:
 
     # Only documents that stand for a set in a cluster are read again. An id that repeats may bring other texts as well; the
     # name of the set, made anew, tells them apart.
-    ids = vertices.join(clusters.select("sid").distinct(), "sid").select("doc_id")
-    full = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(sets, "sid binary, full binary")
+    ids = kept(vertices.select("sid", "doc_id").join(clusters.select("sid").distinct(), "sid").select("doc_id"), "ids")
+    full = docs.join(small(ids, KEYS), "doc_id", "left_semi").select("text").mapInArrow(sets, "sid binary, full binary")
     rows = clusters.join(full, "sid").select("cluster", "sid", "full")
     return rows.repartition("cluster").sortWithinPartitions("cluster").mapInArrow(run, "a binary, b binary").distinct()
 
@@ -375,10 +383,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
 
 
 def _clusters(labelled: DataFrame, vertices: DataFrame, trees: range, threshold: float, leaf: int, depth: int, slack: float, complete: bool) -> DataFrame:
-    dealt = _dealt(_nodes(labelled, trees, threshold, leaf, depth), leaf, complete)
+    dealt = _dealt(_nodes(labelled, vertices, trees, threshold, leaf, depth), leaf, complete)
     return _candidates(dealt.join(vertices.select("sid", "short"), "sid"), threshold - slack)
 
 
+def _all_links(clusters: DataFrame, vertices: DataFrame, source: DataFrame, words: int, percent: int, edges: DataFrame | None) -> DataFrame:
+    found = _confirmed(clusters, vertices, source, words, percent)
+    return found if edges is None else found.unionByName(edges)
+
+
 def _near_duplicates(source: DataFrame, words: int, percent: int, runs: tuple[range, ...], leaf: int, depth: int, slack: float) -> DataFrame:
     spark, path = source.sparkSession, new_path(source.sparkSession, "shingle-sets")
     sets = written(_sets(source, words), path)
@@ -393,10 +406,9 @@ def _near_duplicates(source: DataFrame, words: int, percent: int, runs: tuple[ra
             continue
         if edges is not None:
             found = labels.select(F.col("vertex").alias("sid"), "root")
-            labelled = kept(vertices.join(found, "sid", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "sid"))).drop("root"), "labelled")
+            labelled = vertices.join(small(found), "sid", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "sid"))).drop("root")
         clusters = settled(spark, "clusters", partial(_clusters, labelled, vertices, chosen, percent / 100, leaf, depth, slack, edges is not None))
-        found = _confirmed(clusters, vertices, source, words, percent)
-        edges = kept(found if edges is None else found.unionByName(edges), "links")
+        edges = settled(spark, "links", partial(_all_links, clusters, vertices, source, words, percent, edges))
         labels = components(edges)
     # Component of each set, then the smallest id of each component.
     own = rows.where("doc_id is not null and sid is not null")

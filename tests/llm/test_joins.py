@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from tests.llm import brute
-from txrisk.llm import op11_overlap_join, op12_runs, op13_negatives
+from txrisk.llm import op06_near_dedup, op11_overlap_join, op12_runs, op13_negatives
 from txrisk.llm.components import components
 
 SCHEMA = "doc_id long, text string, comp string, n int, vid string, node int"
@@ -169,6 +169,21 @@ def test_negatives(spark, monkeypatch):
     assert op13_negatives.hard_negatives(usable.limit(0)).count() == 0
 
 
+def test_wide_rows_are_kept_once(spark, monkeypatch):
+    """Tokens and points are the bulk of what the joins of documents write: one table of them, and half a byte a token for comparing."""
+    docs = spark.createDataFrame([(i, f"a{i // 3} b c d e f g h i j k l m n o p q r s t u v w {i % 3 % 2}") for i in range(60)], "doc_id long, text string")
+    wide = []
+    for module, column, run in ((op06_near_dedup, "tokens", op06_near_dedup.near_duplicates), (op11_overlap_join, "counts", op11_overlap_join.overlap_join)):
+        keep = module.kept
+        monkeypatch.setattr(module, "kept", lambda df, name, keep=keep, column=column: (wide.append((column, name)) if column in df.columns else None) or keep(df, name))
+        assert run(docs).count() == 60
+    assert wide == [("tokens", "vertices"), ("counts", "points")]
+    tokens = np.arange(op06_near_dedup.WIDTH, dtype=np.uint32) * 977
+    other = np.where(np.arange(op06_near_dedup.WIDTH) % 4 == 0, tokens + 3, tokens)
+    low = [op06_near_dedup.low_bits(t) for t in (tokens, other)]
+    assert len(low[0]) == op06_near_dedup.WIDTH // 2 and op06_near_dedup._ZEROS[low[0] ^ low[1]].sum() == 96
+
+
 def test_index_leaves_out_nothing_above_the_threshold():
     rng = np.random.default_rng(9)
     for share in (0.9, 0.5, 0.1, -1.0):

@@ -40,12 +40,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import kept, new_path, remove, settled, written
+from txrisk.llm.common import KEYS, kept, settled, small
 from txrisk.llm.components import components, smallest_linked
 from txrisk.llm.op06_near_dedup import _LOWER, _M2, _dealt, _groups, _joined, _links, _mix, _sid
 
 CELLS = 1 << 16
-SMALL = 1_000_000  # rows of two numbers that may go to every executor
 FAN = 8
 WIDTH = 64  # groups of a small set
 _PAIR_BYTES = 1 << 23
@@ -142,8 +141,8 @@ def _levels(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _points(docs: DataFrame, words: int, percent: int, level: np.ndarray, few: int) -> DataFrame:
-    """doc_id, n (size of the set), sid (128 bits that name the set; null for an empty one), some (``few`` coordinates), firsts, counts and coarse (the point on
-    both grids)."""
+    """doc_id, n (size of the set), sid (128 bits that name the set; null for an empty one), some (``few`` coordinates), firsts, and counts (the point on the fine
+    grid)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,15 +150,37 @@ def _points(docs: DataFrame, words: int, percent: int, level: np.ndarray, few: i
             for own in sets_of(batch.column(1).to_pylist(), words):
                 n.append(len(own))
                 if not len(own):
-                    rest.append((None,) * 5)
+                    rest.append((None,) * 4)
                     continue
                 fine = group_counts(own)
-                coarse = _least_type(on_grid(fine, _width(len(own), False)))
-                rest.append((_sid(own), *(x.tobytes() for x in (own[:few], first_coordinates(own, level, percent), fine, coarse))))
-            columns = [pa.array(c, pa.binary()) for c in zip(*rest, strict=True)] if rest else [pa.array([], pa.binary())] * 5
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *columns], names=["doc_id", "n", "sid", "some", "firsts", "counts", "coarse"])
+                rest.append((_sid(own), *(x.tobytes() for x in (own[:few], first_coordinates(own, level, percent), fine))))
+            columns = [pa.array(c, pa.binary()) for c in zip(*rest, strict=True)] if rest else [pa.array([], pa.binary())] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *columns], names=["doc_id", "n", "sid", "some", "firsts", "counts"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sid binary, some binary, firsts binary, counts binary, coarse binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sid binary, some binary, firsts binary, counts binary")
+
+
+def _coarse(points: DataFrame) -> DataFrame:
+    """(vid, n, counts) with the points on the coarse grid."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for n, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                fine = np.frombuffer(raw, f"u{len(raw) // _width(n, True)}")
+                made.append(_least_type(on_grid(fine, _width(n, False))).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], names=["vid", "n", "counts"])
+
+    return points.select("vid", "n", "counts").mapInArrow(run, "vid long, n long, counts binary")
+
+
+def _distinct(every: DataFrame) -> DataFrame:
+    """One row of ``every`` (of different vid) for each set, that of the smallest doc_id. Only names and numbers are shuffled, unless very many repeat a set."""
+    rows = every.where("doc_id is not null and sid is not null")
+    best = rows.groupBy(F.col("sid").alias("of_sid")).agg(F.min(F.struct("doc_id", "vid")).alias("best"), F.count("*").alias("k")).where("k > 1")
+    names = rows.select("sid", "vid").join(best, F.col("sid") == F.col("of_sid"))
+    again = kept(names.where(F.col("vid") != F.col("best.vid")).select("vid"), "repeated-sets")
+    return rows.join(small(again, KEYS), "vid", "left_anti")
 
 
 def _need(n: np.ndarray, percent: int) -> np.ndarray:
@@ -203,16 +224,11 @@ def _under_second(rows: DataFrame, points: DataFrame) -> DataFrame:
     return rows.join(points.select("vid", "firsts"), "vid").select("node", "vid", "comp", "firsts").mapInArrow(run, "node long, vid long, comp long")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df``, a kept table of two or three numbers or short names a row, to be sent to every executor if it has at most ``SMALL`` rows."""
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
-
-
 def _open_nodes(rows: DataFrame) -> DataFrame:
     """(node, vid, comp, n, alike) of the nodes with points of several components; n is the number of points, alike names the set of them."""
     ends = rows.groupBy("node").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     open_ = kept(ends.where("low != high").select(F.col("node").alias("of_node")), "node-names")
-    rows = kept(rows.join(_small(open_), F.col("node") == F.col("of_node"), "left_semi"), "node-rows")
+    rows = kept(rows.join(small(open_), F.col("node") == F.col("of_node"), "left_semi"), "node-rows")
     sizes = rows.groupBy(F.col("node").alias("of_node")).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("vid")).alias("alike"))
     return kept(rows.join(kept(sizes, "node-sizes"), F.col("node") == F.col("of_node")).drop("of_node"), "open-nodes")
 
@@ -370,7 +386,7 @@ def _verified(clusters: DataFrame, points: DataFrame, docs: DataFrame, words: in
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], names=["a", "b"])
 
     ids = kept(points.join(clusters.select("vid").distinct(), "vid").select("doc_id", "vid", "sid"), "ids")
-    full = docs.join(_small(ids), "doc_id").select("vid", "sid", "text").mapInArrow(sets, "vid long, full binary")
+    full = docs.join(small(ids), "doc_id").select("vid", "sid", "text").mapInArrow(sets, "vid long, full binary")
     rows = clusters.join(full, "vid").select("cluster", "vid", "full")
     return rows.repartition("cluster").sortWithinPartitions("cluster").mapInArrow(run, "a long, b long").distinct()
 
@@ -387,29 +403,30 @@ def overlap_join(docs: DataFrame, words: int = 5, percent: int = 80, leaf: int =
 def _clusters(groups_of: Callable[..., DataFrame], labelled: DataFrame, points: DataFrame, percent: int, leaf: int) -> DataFrame:
     groups = groups_of(labelled, percent, leaf)
     for fine in (False, True):
-        own = points.select("vid", "n", F.col("counts" if fine else "coarse").alias("counts"))
+        own = points.select("vid", "n", "counts") if fine else _coarse(points)
         groups = kept(_surviving(groups.join(own, "vid"), percent, fine), "clusters").withColumnRenamed("cluster", "grp")
     return groups.select(F.col("grp").alias("cluster"), "vid")
 
 
+def _all_links(clusters: DataFrame, points: DataFrame, source: DataFrame, words: int, percent: int, edges: DataFrame | None) -> DataFrame:
+    found = _verified(clusters, points, source, words, percent)
+    return found if edges is None else found.unionByName(edges)
+
+
 def _overlap_join(source: DataFrame, words: int, percent: int, leaf: int, few: int) -> DataFrame:
-    spark, path = source.sparkSession, new_path(source.sparkSession, "points")
-    every = written(_points(source, words, percent, _levels(source, words), few), path)
-    distinct = every.where("doc_id is not null and sid is not null").groupBy("sid").agg(F.min(F.struct("doc_id", "n", "some", "firsts", "counts", "coarse")).alias("point"))
-    points = kept(distinct.select(F.monotonically_increasing_id().alias("vid"), "sid", "point.*"), "distinct-points")
-    rows = kept(every.select("doc_id", "n", "sid"), "documents")
-    remove(spark, path)
+    spark = source.sparkSession
+    rows = kept(_points(source, words, percent, _levels(source, words), few).withColumn("vid", F.monotonically_increasing_id()), "points")
+    points = _distinct(rows)
     edges, labels = None, None
     for groups_of in (_some_groups, _all_groups):
         # Each point is a component of its own at first.
-        labelled = points.withColumn("comp", F.col("vid")) if labels is None else points.join(_small(labels), "vid", "left").withColumn("comp", F.coalesce("root", "vid"))
+        labelled = points.withColumn("comp", F.col("vid")) if labels is None else points.join(small(labels), "vid", "left").withColumn("comp", F.coalesce("root", "vid"))
         clusters = settled(spark, "clusters", partial(_clusters, groups_of, labelled, points, percent, leaf))
-        found = _verified(clusters, points, source, words, percent)
-        edges = kept(found if edges is None else found.unionByName(edges), "links")
+        edges = settled(spark, "links", partial(_all_links, clusters, points, source, words, percent, edges))
         labels = components(edges).withColumnRenamed("vertex", "vid")
     named = points.select("sid", "doc_id", "vid").join(labels, "vid", "left").withColumn("comp", F.coalesce("root", "vid"))
     least = named.groupBy(F.col("comp").alias("of_comp")).agg(F.min("doc_id").alias("component_id"))
     sets = kept(named.join(least, F.col("comp") == F.col("of_comp")).select("sid", "component_id"), "named-points")
-    linked = rows.where("doc_id is not null").join(sets, "sid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    linked = rows.where("doc_id is not null").select("doc_id", "n", "sid").join(sets, "sid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.where("doc_id is null or sid is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)

@@ -178,6 +178,25 @@ def test_search_memory_of_a_shard():
     assert peak < 48 * len(shard.doc) and shard.blocks == 16
 
 
+def test_search_keeps_k_whatever_the_number_of_shards():
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.3, 60) % 500) for _ in range(300)] + ["a b c"] * 40
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(340)), "text": texts})
+    (whole,) = op05_search._shards(iter([batch]), 1 << 24)
+    parts = list(op05_search._shards(iter([batch]), 500))
+    mean = float(whole["lengths"].mean())
+    weight = dict(zip(whole["terms"].tolist(), np.log(1 + (340.5 - np.diff(whole["first"])) / (np.diff(whole["first"]) + 0.5)).tolist(), strict=True))
+    queries = [(t, np.array([weight[x] for x in t.tolist()])) for t in (np.unique(op05_search.terms_of(text)) for text in texts[:20] + texts[-2:])]
+    found = []
+    for shards in ([whole], parts, parts[::-1]):
+        best = [(np.zeros(0), np.zeros(0, np.int64))] * len(queries)
+        for index in shards:
+            op05_search.Shard(op05_search._save(**index), mean).add(queries, best, 10)
+        found.append([list(zip(s.tolist(), i.tolist(), strict=True)) for s, i in best])
+    assert len(parts) > 50 and found[0] == found[1] == found[2] and all(len(f) == 10 for f in found[0])
+    assert [i for _, i in found[0][-1]] == list(range(300, 310))
+
+
 def near_brute(rows, k):
     sets = {}
     for i, t in rows:

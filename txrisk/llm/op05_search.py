@@ -1,14 +1,16 @@
 """Exact BM25 top k by block-max pruning over an inverted index in shards.
 
 Every partition of the documents becomes one or more shards of at most ``shard_text`` characters (or one longer text): an index file with the
-postings of its documents in order of term, and the bounds of blocks of ``BLOCK`` documents within them. Statistics (number and mean length of documents, documents per term) are global. A query
-weighs its terms, adds up the greatest impacts of its terms in each block, and takes blocks from the greatest bound down, in
-portions; it stops at the first whose bound is below the k-th best score so far. The best k of all shards are merged; as weights are global, the result is exact.
+postings of its documents in order of term. Statistics (number and mean length of documents, documents per term) are global. In a shard, the
+terms of more than one in ``WIDE`` documents also have a dense matrix of impacts and its maxima over blocks of ``BLOCK`` documents. A query adds up
+the postings of its narrow terms, and bounds each block by the block maxima of its wide terms; blocks below the k-th best score of the
+shards before are left out. In the others a product with the matrix bounds each document, and what reaches the k-th best
+is scored in full precision, term by term in the same order everywhere. The best k of all tasks are merged; as weights are global, the result is exact.
 
-At scale: postings are never shuffled, only (term, documents) counts of each shard and the best k of each query and shard. A task
-holds a shard and a block of ``query_rows`` queries, so its memory depends on neither the table nor its partitions; postings are scored
-``POSTINGS`` or a block of documents at a time. Queries from the corpus grow with it, so the work of that use grows with
-the square of the corpus; pruning makes it less, not linear.
+At scale: postings are never shuffled, only (term, documents) counts of each shard and the best k of each query and task. A task
+holds a block of at most ``query_rows`` queries and goes through its group of shards, one at a time, so its memory depends on neither the table
+nor its partitions; there are as many groups as the cluster has cores twice, whatever the number of shards, so the candidates grow with the queries.
+Queries from the corpus grow with it, so the work of that use grows with the square of the corpus.
 
 Defined cases: terms are lower-case runs between white space; a query without known terms has no results; documents without terms
 are never found; equal scores are in order of doc_id, null last; repeated rows are found each; an empty table gives no rows.
@@ -30,12 +32,14 @@ from txrisk.llm.files import read_file, write_file
 
 BLOCK, K1, B = 64, 0.9, 0.4
 POSTINGS = 1 << 18
+WIDE = 16  # a term in more than one of so many documents of a shard is wide
+QUERY_TERMS = 1 << 21  # of a block of queries
 
 
 def terms_of(text: str) -> np.ndarray:
     """64-bit hashes of the terms of a text, in order."""
     own = text.lower().encode("utf-8", "surrogatepass").split()
-    return np.fromiter((xxhash.xxh64_intdigest(w) >> 1 for w in own), np.int64, len(own))
+    return (np.fromiter(map(xxhash.xxh64_intdigest, own), np.uint64, len(own)) >> np.uint64(1)).astype(np.int64)
 
 
 def _save(**arrays: np.ndarray) -> bytes:
@@ -81,70 +85,119 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_text: int) -> Iterator[dict
         yield _index(ids, found)
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges lo .. hi - 1, one range after the other."""
+    size = hi - lo
+    return np.repeat(lo - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+
+def _portions(size: np.ndarray) -> Iterator[slice]:
+    """Neighbours with at most ``POSTINGS`` postings together, one at least."""
+    total, at = np.cumsum(size), 0
+    while at < len(size):
+        end = max(at + 1, int(np.searchsorted(total, POSTINGS + (total[at - 1] if at else 0), "right")))
+        yield slice(at, end)
+        at = end
+
+
+Best = tuple[np.ndarray, np.ndarray]  # scores and ids, the best first
+
+
 class Shard:
     def __init__(self, data: bytes, mean_length: float):
         with np.load(io.BytesIO(data)) as a:
-            self.terms, first, doc, count, lengths, self.ids = (a[k] for k in ("terms", "first", "doc", "count", "lengths", "ids"))
+            self.terms, self.first, self.doc, count, lengths, self.ids = (a[k] for k in ("terms", "first", "doc", "count", "lengths", "ids"))
         # In place where it can be: a shard has millions of postings.
-        self.doc, self.impact = doc, count.astype(float)
-        whole = (K1 * (1 - B + B * lengths / mean_length))[doc]
+        self.impact = count.astype(float)
+        del count
+        whole = (K1 * (1 - B + B * lengths / mean_length))[self.doc]
         whole += self.impact
         self.impact *= K1 + 1
         self.impact /= whole
-        # Runs of postings of one term in one block of documents.
-        block = doc // BLOCK
-        start = np.ones(len(doc), bool)
-        start[1:] = block[1:] != block[:-1]
-        start[first[:-1]] = True
-        change = np.flatnonzero(start)
-        self.run_at, self.run_block = np.append(change, len(doc)), block[change]
-        if len(lengths) <= BLOCK << 16:
-            self.run_block = self.run_block.astype(np.uint16)  # sorted by digits
-        self.run_most = np.maximum.reduceat(self.impact, change) if len(change) else np.zeros(0)
-        self.term_run = np.searchsorted(change, first)
-        self.blocks = -(-len(lengths) // BLOCK)
-
-    def best(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k best (score, id) here, equal scores in order of id."""
-        at = np.searchsorted(self.terms, terms)
-        here = at < len(self.terms)
-        here[here] = self.terms[at[here]] == terms[here]
-        at, weights = at[here], weights[here]
-        lo, hi = self.term_run[at], self.term_run[at + 1]
-        runs = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(int((hi - lo).sum())) if len(at) else np.zeros(0, np.int64)
-        if not len(runs):
-            return []
-        weight = np.repeat(weights, hi - lo)
-        bound = np.bincount(self.run_block[runs], weight * self.run_most[runs], self.blocks) * (1 + 1e-12)
-        order = np.argsort(-bound, kind="stable")
-        by_block = np.argsort(self.run_block[runs], kind="stable")
-        runs, weight = runs[by_block], weight[by_block]
-        cut = np.append(0, np.cumsum(np.bincount(self.run_block[runs], minlength=self.blocks)))
-        posts = np.append(0, np.cumsum(self.run_at[runs + 1] - self.run_at[runs]))[cut]
-        posts = posts[1:] - posts[:-1]  # of the query's terms in each block
-        # Blocks in growing portions: few while the k-th best score is still low, many at once when most are ruled out.
-        scores, ids, least, at, portion = np.zeros(0), np.zeros(0, np.int64), 0.0, 0, 4
-        order = order[bound[order] > 0]
-        while at < len(order) and bound[order[at]] >= least:
-            chosen = order[at : at + portion]
-            chosen = chosen[: max(1, int(np.searchsorted(np.cumsum(posts[chosen]), POSTINGS, "right")))]
-            at, portion = at + len(chosen), portion * 4
-            chosen = np.sort(chosen[bound[chosen] >= least])
-            lo, hi = cut[chosen], cut[chosen + 1]
-            own = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(int((hi - lo).sum()))
-            first = self.run_at[runs[own]]
-            size = self.run_at[runs[own] + 1] - first
-            post = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
-            score = np.bincount(self.doc[post], np.repeat(weight[own], size) * self.impact[post])
+        del whole
+        n, df = len(lengths), np.diff(self.first)
+        self.blocks = -(-n // BLOCK)
+        # Postings by document, in order of term, for scores in full precision.
+        order = np.argsort(self.doc.astype(np.uint16) if n <= 1 << 16 else self.doc, kind="stable")
+        self.term_of, self.impact_of = np.repeat(np.arange(len(df), dtype=np.int32), df)[order], self.impact[order]
+        del order
+        # Wide terms have their impacts by document, in at most four numbers for each posting of the shard, and the greatest by block.
+        wide = np.argsort(-df, kind="stable")[: 4 * len(self.doc) // max(1, self.blocks * BLOCK)]
+        wide = np.sort(wide[df[wide] * WIDE > n])
+        self.wide = np.full(len(df), -1, np.int32)
+        self.wide[wide] = np.arange(len(wide))
+        self.dense = np.zeros((len(wide), self.blocks, BLOCK), np.float32)
+        for own, lo, hi in zip(self.dense.reshape(len(wide), self.blocks * BLOCK), self.first[wide], self.first[wide + 1], strict=True):
+            own[self.doc[lo:hi]] = self.impact[lo:hi]
+        self.most = self.dense.max(2) if self.blocks else np.zeros((len(wide), 0), np.float32)
+        # What a sum in single precision may be too low or too high by.
+        self.slack = 1 + (len(wide) + 4) * 2.0**-23 + 1e-9
+        self.doc_first = np.append(0, np.cumsum(np.bincount(self.doc, minlength=n)))
+        self.weight = np.zeros(len(df))
+
+    def add(self, queries: list[tuple[np.ndarray, np.ndarray]], found: list[Best], k: int) -> None:
+        """Put the documents here among the k best ``found`` so far for each query (terms, weights)."""
+        step = max(1, min(64, (1 << 21) // max(1, self.blocks * BLOCK)))
+        for at in range(0, len(queries), step):
+            found[at : at + step] = self._best(queries[at : at + step], found[at : at + step], k)
+
+    def _best(self, queries: list[tuple[np.ndarray, np.ndarray]], found: list[Best], k: int) -> list[Best]:
+        least = np.array([scores[-1] if len(scores) == k else 0.0 for scores, _ in found])
+        total = np.zeros((len(queries), self.blocks, BLOCK), np.float32)
+        heavy = np.zeros((len(queries), len(self.dense)), np.float32)
+        known = []
+        for i, (terms, weights) in enumerate(queries):
+            at = np.searchsorted(self.terms, terms)
+            here = at < len(self.terms)
+            here[here] = self.terms[at[here]] == terms[here]
+            at, weights = at[here], weights[here]
+            known.append((at, weights))
+            number = self.wide[at]
+            narrow = number < 0
+            heavy[i, number[~narrow]] = weights[~narrow]
+            lo, hi, weights = self.first[at[narrow]], self.first[at[narrow] + 1], weights[narrow]
+            sums = np.zeros(self.blocks * BLOCK)
+            for part in _portions(hi - lo):
+                post = _ranges(lo[part], hi[part])
+                sums += np.bincount(self.doc[post], np.repeat(weights[part], hi[part] - lo[part]) * self.impact[post], len(sums))
+            total[i] = sums.reshape(self.blocks, BLOCK)
+        # Blocks that no query can find better documents in are left out.
+        bound = (heavy @ self.most + total.max(2)) * self.slack if self.blocks else total.sum(2)
+        open_ = np.flatnonzero(((bound >= least[:, None]) & (bound > 0)).any(0))
+        if not len(open_):
+            return found
+        dense = self.dense
+        if len(open_) < self.blocks:
+            total, dense = total[:, open_], dense[:, open_]
+        total = total.reshape(len(queries), len(open_) * BLOCK)
+        total += heavy @ dense.reshape(len(dense), len(open_) * BLOCK)
+        out = []
+        for own, (at, weights), before, low in zip(total, known, found, least.tolist(), strict=True):
+            if len(own) > k:
+                low = max(low, float(np.partition(own, -k)[-k]) * (2 - self.slack))
+            chosen = np.flatnonzero((own * self.slack >= low) & (own > 0))
+            out.append(self._scored(open_[chosen // BLOCK] * BLOCK + chosen % BLOCK, at, weights, before, low, k))
+        return out
+
+    def _scored(self, docs: np.ndarray, at: np.ndarray, weights: np.ndarray, found: Best, least: float, k: int) -> Best:
+        """``found`` with those of ``docs`` that belong there; equal scores in order of id."""
+        self.weight[at] = weights
+        scores, ids = found
+        size = self.doc_first[docs + 1] - self.doc_first[docs]
+        for part in _portions(size):
+            own = docs[part]
+            post = _ranges(self.doc_first[own], self.doc_first[own + 1])
+            score = np.bincount(np.repeat(np.arange(len(own)), size[part]), self.weight[self.term_of[post]] * self.impact_of[post])
             some = np.flatnonzero((score >= least) & (score > 0))
-            scores, ids = np.concatenate([scores, score[some]]), np.concatenate([ids, self.ids[some]])
+            scores, ids = np.concatenate([scores, score[some]]), np.concatenate([ids, self.ids[own[some]]])
             best = np.lexsort((ids, -scores))[:k]
             scores, ids = scores[best], ids[best]
-            least = float(scores[-1]) if len(scores) == k else 0.0
-        return list(zip(scores.tolist(), ids.tolist(), strict=True))
+            least = max(least, float(scores[-1])) if len(scores) == k else least
+        self.weight[at] = 0
+        return scores, ids
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, query_rows: int = 512, shard_text: int = 1 << 24) -> DataFrame:
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, query_rows: int = 4096, shard_text: int = 1 << 24) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best documents for each (query_id, text) of ``queries``."""
     spark, folder = docs.sparkSession, new_path(docs.sparkSession, "search")
 
@@ -174,43 +227,48 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, query_rows: int = 5
     asked = queries.select(F.col("query_id").cast("long").alias("query_id"), text).mapInArrow(split, "query_id long, term long, count long")
     df = built.where("path is null").groupBy("term").agg(F.sum("n").alias("df"))
     weight = F.col("count") * F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    asked = asked.join(df, "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", weight.alias("weight")))).alias("terms"))
+    asked = kept(asked.join(df, "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", weight.alias("weight")))).alias("terms")), "asked")
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, query_rows):
-                part = batch.slice(at, query_rows)
-                lists = part.column(1)
-                flat = lists.flatten()
-                path = write_file(folder, ".npz", _save(ids=np.array(part.column(0).to_pylist(), np.int64), cut=np.append(0, np.cumsum(lists.value_lengths().to_numpy())), terms=flat.field(0).to_numpy(), weights=flat.field(1).to_numpy()))
+            size, at = batch.column(1).value_lengths().to_numpy(), 0
+            while at < batch.num_rows:
+                rows = max(1, int(np.searchsorted(np.cumsum(size[at : at + query_rows]), QUERY_TERMS, "right")))
+                part = batch.slice(at, rows)
+                at += part.num_rows
+                flat = part.column(1).flatten()
+                cut = np.append(0, np.cumsum(part.column(1).value_lengths().to_numpy()))
+                path = write_file(folder, ".npz", _save(ids=np.array(part.column(0).to_pylist(), np.int64), cut=cut, terms=flat.field(0).to_numpy(), weights=flat.field(1).to_numpy()))
                 yield pa.RecordBatch.from_pydict({"asked": [path]})
 
-    blocks = kept(asked.coalesce(max(1, spark.sparkContext.defaultParallelism)).mapInArrow(save, "asked string"), "queries")
-    # Every block of queries meets every shard, as two file names. There is one name for ``query_rows`` queries.
+    blocks = kept(asked.coalesce(max(1, -(-asked.count() // query_rows))).mapInArrow(save, "asked string"), "queries")
+    # Names only: there is one for a block of queries and one for a shard.
     names = spark.sparkContext.broadcast([r.asked for r in blocks.collect()])
+    groups = max(1, min(2 * spark.sparkContext.defaultParallelism, shards.count()))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(names.value), pa.string()), "asked": pa.array(names.value, pa.string())})
+        paths = [path for batch in batches for path in batch.column(0).to_pylist()]
+        for asked_path in names.value:
+            dealt = [paths[g::groups] for g in range(groups) if paths[g::groups]]
+            yield pa.RecordBatch.from_arrays([pa.array([asked_path] * len(dealt), pa.string()), pa.array(dealt, pa.list_(pa.string()))], names=["asked", "paths"])
 
-    pairs = shards.select("path").mapInArrow(meet, "path string, asked string")
+    pairs = shards.select("path").coalesce(1).mapInArrow(meet, "asked string, paths array<string>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded: tuple[str, Shard] | None = None
         for batch in batches:
-            for path, asked_path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if loaded is None or loaded[0] != path:
-                    loaded = None  # not two shards at once
-                    loaded = (path, Shard(read_file(path), mean))
+            for asked_path, paths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with np.load(io.BytesIO(read_file(asked_path))) as a:
                     ids, cut, terms, weights = (a[x] for x in ("ids", "cut", "terms", "weights"))
-                rows = [(q, i, s) for q, lo, hi in zip(ids.tolist(), cut, cut[1:], strict=False) for s, i in loaded[1].best(terms[lo:hi], weights[lo:hi], k)]
-                columns = list(zip(*rows, strict=True)) or [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "doc_id", "score"])
-
-    size = max(1, min(4096, shards.count() * blocks.count()))
-    best = pairs.repartition(size).sortWithinPartitions("path").mapInArrow(run, schema)
+                asked = [(terms[lo:hi], weights[lo:hi]) for lo, hi in zip(cut, cut[1:], strict=False)]
+                found = [(np.zeros(0), np.zeros(0, np.int64))] * len(asked)
+                for path in paths:
+                    Shard(read_file(path), mean).add(asked, found, k)  # one shard at a time
+                query = np.repeat(ids, [len(scores) for scores, _ in found])
+                scores, docs = (np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(list(zip(*found, strict=True)) or [(), ()], (float, np.int64), strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(docs), pa.array(scores)], names=["query_id", "doc_id", "score"])
+
+    size = max(1, min(4096, groups * len(names.value)))
+    best = pairs.repartition(size).mapInArrow(run, schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     best = best.withColumn("rank", rank).where(F.col("rank") <= k)
     no_id = F.lit((1 << 63) - 1)  # stands for a null id in the index

@@ -194,3 +194,15 @@ def test_index_leaves_out_nothing_above_the_threshold():
         a, r, s = index.above(anchors, least)
         assert {(x, y) for x, y in zip(a.tolist(), r.tolist(), strict=True)} >= set(zip(*(x.tolist() for x in np.nonzero(scores >= least[:, None])), strict=True))
         assert (s == scores[a, r]).all() and (s >= least[a] - 0.5).all()
+
+
+def test_points_without_a_partner_leave_their_node(spark):
+    # Node 1: sizes too different; 2: too little left after the place; 3: linkable; 4: the same component; 5: one of three has no partner.
+    rows = [(1, 10, 10, 100, 0), (1, 11, 11, 70, 0), (2, 20, 20, 100, 15), (2, 21, 21, 100, 0), (3, 30, 30, 100, 11), (3, 31, 31, 100, 11)]
+    rows += [(4, 40, 40, 100, 0), (4, 41, 40, 100, 0), (5, 30, 30, 100, 0), (5, 50, 50, 300, 0), (5, 31, 31, 100, 3)]
+    frame = spark.createDataFrame(rows, "node long, vid long, comp long, size int, place int")
+    got = op11_overlap_join._with_partner(frame, 80).collect()
+    assert sorted((r.node, r.vid, r.n) for r in got) == [(3, 30, 2), (3, 31, 2), (5, 30, 2), (5, 31, 2)]
+    assert len({r.alike for r in got}) == 1  # nodes 3 and 5 hold the same points now
+    open_ = op11_overlap_join._open_nodes(frame, 80).collect()
+    assert sorted(map(str, open_)) == sorted(map(str, got))

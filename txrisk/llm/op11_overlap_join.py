@@ -11,6 +11,7 @@ The tree, from its root down:
    least ``percent`` % of n, so their first n - that + 1 coordinates, in any order common to all sets, have one with a minimum above 0: a
    node per coordinate holds the points that have it among those. Rare coordinates come first, by a histogram of all shingles
    over ``CELLS`` cells, so a passage that a third of all texts share is in nobody's first coordinates but its own copies'.
+   Of a node of few points, those stay that have another one of a size, and with enough left of both after their places of the coordinate, to be linked.
 2. A node of many unlike points is cut again by a second such coordinate: linked sets share two among their first n - that + 2.
 3. Below, points are packed in order of size and leading coordinates, ``FAN`` to a node, and pairs of nodes are followed from the root as
    long as their bound allows, down to pairs of points. What survives on a coarse grid is packed once more on a fine one.
@@ -47,7 +48,9 @@ from txrisk.llm.op06_near_dedup import _LOWER, _M2, _dealt, _groups, _joined, _l
 CELLS = 1 << 16
 FAN = 8
 WIDTH = 64  # groups of a small set
+FEW_POINTS = 64  # of a node in which each point is held against the others
 _PAIR_BYTES = 1 << 23
+_NODE_ROWS = "node long, vid long, comp long, size int, place int"
 
 
 def shingles_of(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +192,8 @@ def _need(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _under(points: DataFrame, coordinates: str, percent: int) -> DataFrame:
-    """(node, vid, comp): each point in the nodes of its ``coordinates``, the column ``some`` or ``firsts``."""
+    """(node, vid, comp, size, place): each point in the nodes of its ``coordinates``, the column ``some`` or ``firsts``; size is that of its set, and
+    ``place`` of its coordinates come before the node's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,13 +206,14 @@ def _under(points: DataFrame, coordinates: str, percent: int) -> DataFrame:
             keep = np.flatnonzero(place < np.repeat(use, size))
             of = pa.array(np.repeat(np.arange(len(n)), size)[keep])
             node = np.frombuffer(b"".join(raw), np.int64)[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(node), batch.column(0).take(of), batch.column(1).take(of)], names=["node", "vid", "comp"])
+            columns = [pa.array(node), batch.column(0).take(of), batch.column(1).take(of), batch.column(2).take(of).cast(pa.int32()), pa.array(place[keep].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "vid", "comp", "size", "place"])
 
-    return points.select("vid", "comp", "n", coordinates).mapInArrow(run, "node long, vid long, comp long")
+    return points.select("vid", "comp", "n", coordinates).mapInArrow(run, _NODE_ROWS)
 
 
 def _under_second(rows: DataFrame, points: DataFrame) -> DataFrame:
-    """(node, vid, comp): the points of nodes that are cut again, by each coordinate that follows the node's own."""
+    """(node, vid, comp, size, place): the points of nodes that are cut again, by each coordinate that follows the node's own; place is 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,18 +224,59 @@ def _under_second(rows: DataFrame, points: DataFrame) -> DataFrame:
                 nodes.append(_mix(_mix(after.astype(np.uint64)) ^ np.uint64(node % (1 << 64))).astype(np.int64))
                 of += [i] * len(after)
             at = pa.array(of, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes) if nodes else np.zeros(0, np.int64)), batch.column(1).take(at), batch.column(2).take(at)], names=["node", "vid", "comp"])
+            columns = [pa.array(np.concatenate(nodes) if nodes else np.zeros(0, np.int64)), *(batch.column(c).take(at) for c in (1, 2, 4)), pa.array(np.zeros(len(of), np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "vid", "comp", "size", "place"])
 
-    return rows.join(points.select("vid", "firsts"), "vid").select("node", "vid", "comp", "firsts").mapInArrow(run, "node long, vid long, comp long")
+    of_rows = rows.join(points.select("vid", "firsts", F.col("n").cast("int").alias("size")), "vid")
+    return of_rows.select("node", "vid", "comp", "firsts", "size").mapInArrow(run, _NODE_ROWS)
 
 
-def _open_nodes(rows: DataFrame) -> DataFrame:
-    """(node, vid, comp, n, alike) of the nodes with points of several components; n is the number of points, alike names the set of them."""
+def _with_partner(rows: DataFrame, percent: int) -> DataFrame:
+    """(node, vid, comp, n, alike): the points that may be linked with another one of their node, n and alike without the others.
+
+    The first coordinate that two sets share has no shared one before it, so their overlap is at most what is left of either from there.
+    Linked sets have that bound in the node of that coordinate.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _groups(batches):
+            node, vid, comp, size, place = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(5))
+            rest = size - place
+            near, keep = np.arange(len(node)), np.zeros(len(node), bool)
+            for d in range(1, len(node)):
+                # Nodes are contiguous: rows whose node ended stay out.
+                near = near[near < len(node) - d]
+                near = near[node[near] == node[near + d]]
+                if not len(near):
+                    break
+                a = near[comp[near] != comp[near + d]]
+                a = a[(100 + percent) * np.minimum(rest[a], rest[a + d]) >= percent * (size[a] + size[a + d])]
+                keep[a] = keep[a + d] = True
+            node, vid, comp = node[keep], vid[keep], comp[keep]
+            if not len(node):
+                continue
+            starts = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+            many = np.diff(np.append(starts, len(node)))
+            alike = np.bitwise_xor.reduceat(_mix(_mix(vid.astype(np.uint64)) * _M2), starts).astype(np.int64)
+            columns = [node, vid, comp, np.repeat(many, many), np.repeat(alike, many)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "vid", "comp", "n", "alike"])
+
+    ordered = rows.select("node", "vid", "comp", "size", "place").repartition("node").sortWithinPartitions("node")
+    return ordered.mapInArrow(run, "node long, vid long, comp long, n long, alike long")
+
+
+def _open_nodes(rows: DataFrame, percent: int) -> DataFrame:
+    """(node, vid, comp, n, alike) of the nodes with points of several components; n is the number of points, alike names the set of them.
+
+    In nodes of at most ``FEW_POINTS`` points, those that cannot be linked with another one are left out.
+    """
     ends = rows.groupBy("node").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     open_ = kept(ends.where("low != high").select(F.col("node").alias("of_node")), "node-names")
     rows = kept(rows.join(small(open_), F.col("node") == F.col("of_node"), "left_semi"), "node-rows")
     sizes = rows.groupBy(F.col("node").alias("of_node")).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("vid")).alias("alike"))
-    return kept(rows.join(kept(sizes, "node-sizes"), F.col("node") == F.col("of_node")).drop("of_node"), "open-nodes")
+    rows = rows.join(kept(sizes, "node-sizes"), F.col("node") == F.col("of_node"))
+    large = rows.where(F.col("n") > FEW_POINTS).select("node", "vid", "comp", "n", "alike")
+    return kept(large.unionByName(_with_partner(rows.where(F.col("n") <= FEW_POINTS), percent)), "open-nodes")
 
 
 def _blocks(rows: DataFrame, leaf: int, complete: bool) -> DataFrame:
@@ -241,18 +287,18 @@ def _blocks(rows: DataFrame, leaf: int, complete: bool) -> DataFrame:
 
 def _some_groups(points: DataFrame, percent: int, leaf: int) -> DataFrame:
     """(grp, vid, comp): points that share one of ``some`` coordinates, large nodes dealt at random."""
-    return _blocks(_open_nodes(_under(points, "some", percent)), leaf, False)
+    return _blocks(_open_nodes(_under(points, "some", percent), percent), leaf, False)
 
 
 def _all_groups(points: DataFrame, percent: int, leaf: int) -> DataFrame:
     """(grp, vid, comp): the groups in which points are compared; every linked pair of two components shares one."""
-    rows = _open_nodes(_under(points, "firsts", percent))
+    rows = _open_nodes(_under(points, "firsts", percent), percent)
     large = rows.where(F.col("n") > leaf)
     counts = large.groupBy("node", "n", "comp").agg(F.count("*").alias("k"))
     others = counts.groupBy(F.col("node").alias("of_node")).agg((F.max("n") - F.max("k")).alias("others"))
     cut = others.where(F.col("others") > leaf).select("of_node")
     cut = kept(cut, "cut-nodes")
-    again = _open_nodes(_under_second(large.join(cut, F.col("node") == F.col("of_node"), "left_semi"), points))
+    again = _open_nodes(_under_second(large.join(cut, F.col("node") == F.col("of_node"), "left_semi"), points), percent)
     whole = rows.join(cut, F.col("node") == F.col("of_node"), "left_anti")
     return _blocks(whole.unionByName(again), leaf, True)
 

@@ -206,3 +206,38 @@ def test_points_without_a_partner_leave_their_node(spark):
     assert len({r.alike for r in got}) == 1  # nodes 3 and 5 hold the same points now
     open_ = op11_overlap_join._open_nodes(frame, 80).collect()
     assert sorted(map(str, open_)) == sorted(map(str, got))
+
+
+def test_bit_map_has_every_named_node(spark):
+    rng = np.random.default_rng(11)
+    nodes, others = (rng.integers(-(1 << 63), (1 << 63) - 1, 5000) for _ in range(2))
+    words = op11_overlap_join._bit_map(spark.createDataFrame([(int(x),) for x in nodes], "node long"))
+    assert op11_overlap_join._in_map(words, nodes).all() and op11_overlap_join._in_map(words, others).mean() < 0.05
+
+
+def test_cells_of_the_histogram_grow_with_the_documents():
+    assert [op11_overlap_join._cells(n) for n in (0, 51_282, 256_410, 10**9)] == [1 << 16, 1 << 18, 1 << 20, 1 << 22]
+
+
+@pytest.mark.parametrize("sent", [1_000_000, 0])
+def test_points_outside_of_groups_are_not_shuffled(spark, monkeypatch, sent):
+    points = op11_overlap_join.kept(spark.range(1000).selectExpr("id as vid", "3L as n", "cast(repeat('a', 64) as binary) as counts"), "points")
+    groups = spark.createDataFrame([(1, 5, 5), (1, 6, 6)], "grp long, vid long, comp long")
+    plans, small = [], op11_overlap_join.small
+    monkeypatch.setattr(op11_overlap_join, "small", lambda df, rows=sent: small(df, rows))
+
+    def surviving(rows, percent, fine):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return rows.selectExpr("grp as cluster", "vid", "comp")
+
+    monkeypatch.setattr(op11_overlap_join, "_surviving", surviving)
+    monkeypatch.setattr(op11_overlap_join, "_coarse", lambda points: points)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = op11_overlap_join._clusters(lambda *_: groups, points, points, 80, 512)
+        assert sorted(map(tuple, found.collect())) == [(1, 5), (1, 6)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Where the groups are not sent, their points' names are.
+    assert len(plans) == 2 and all("BroadcastHashJoin" in p for p in plans)

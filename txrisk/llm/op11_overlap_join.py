@@ -10,7 +10,7 @@ The tree, from its root down:
 1. Space is first cut by single coordinates of the finest grid, one shingle each. Two linked sets of which the larger has n shingles share at
    least ``percent`` % of n, so their first n - that + 1 coordinates, in any order common to all sets, have one with a minimum above 0: a
    node per coordinate holds the points that have it among those. Rare coordinates come first, by a histogram of all shingles
-   over ``CELLS`` cells, so a passage that a third of all texts share is in nobody's first coordinates but its own copies'.
+   whose cells grow with the documents, so a passage that a third of all texts share is in nobody's first coordinates but its own copies'.
    Of a node of few points, those stay that have another one of a size, and with enough left of both after their places of the coordinate, to be linked.
 2. A node of many unlike points is cut again by a second such coordinate: linked sets share two among their first n - that + 2.
 3. Below, points are packed in order of size and leading coordinates, ``FAN`` to a node, and pairs of nodes are followed from the root as
@@ -22,7 +22,8 @@ one component. No link between different sets is lost: every bound is a true upp
 
 At scale: equal sets are one point from the start. Nodes are dealt in blocks of ``leaf`` points; where all but few points of a
 node are of one component, only these few meet every block. Groups are linear in their points, no pair is written, and links leave as
-spanning forests. The driver gets the histogram (``CELLS`` numbers at most) and counts.
+spanning forests. Only points of a group are fetched while their numbers can be sent to every executor. The driver gets the histogram
+(``MOST_CELLS`` bytes at most), a bit map of nodes (2 ** ``MOST_BITS`` bits at most) and counts.
 
 Defined cases: null and empty texts, and texts of white space, are empty sets and linked with nothing; a text with fewer words than a
 shingle is one shingle; rows without id stay alone and without component; rows that repeat an id are documents of their own; an empty
@@ -46,6 +47,9 @@ from txrisk.llm.components import components, smallest_linked
 from txrisk.llm.op06_near_dedup import _LOWER, _M2, _dealt, _groups, _joined, _links, _mix, _sid
 
 CELLS = 1 << 16
+MOST_CELLS = 1 << 22
+SLICE = 1 << 12  # cells whose counts are a row
+MOST_BITS = 28
 FAN = 8
 WIDTH = 64  # groups of a small set
 FEW_POINTS = 64  # of a node in which each point is held against the others
@@ -115,32 +119,41 @@ def first_coordinates(shingles: np.ndarray, level: np.ndarray, percent: int) ->
     """The coordinates under which a set is found, rare ones first, and one more if there is one."""
     n = len(shingles)
     most = n - -(-n * percent // 100) + 2
-    rank = level[shingles & np.uint64(CELLS - 1)] << np.uint64(56) | shingles >> np.uint64(8)
+    rank = level[shingles & np.uint64(len(level) - 1)].astype(np.uint64) << np.uint64(56) | shingles >> np.uint64(8)
     return shingles[np.argsort(rank, kind="stable")[:most]]
 
 
+def _cells(documents: int) -> int:
+    """Cells of the histogram, a power of two that grows with the documents: in a full cell a frequent shingle doesn't stand out."""
+    return min(max(CELLS, 1 << (4 * documents).bit_length()), MOST_CELLS)
+
+
 def _levels(docs: DataFrame, words: int) -> np.ndarray:
     """How frequent the shingles of each cell are, in steps of a quarter power of two."""
+    cells = _cells(docs.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.int64)
+        counts = np.zeros(cells, np.uint32)
         for batch in batches:
-            held, size = [], 0
             for own in sets_of(batch.column(0).to_pylist(), words):
-                held.append(own)
-                size += len(own)
-                if size >= CELLS:
-                    counts += np.bincount((np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
-                    held, size = [], 0
-            if held:
-                counts += np.bincount((np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
-        cell = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(counts[cell])], names=["cell", "n"])
-
-    sums = docs.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(CELLS)
-    counts[sums["cell"].to_numpy(np.int64)] = sums["n"]
-    return np.floor(4 * np.log2(counts + 1)).astype(np.uint64)
+                np.add.at(counts, (own & np.uint64(cells - 1)).astype(np.int64), np.uint32(1))
+        parts = counts.reshape(-1, SLICE)
+        some = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([_least_type(parts[k]).tobytes() for k in some], pa.binary())], names=["part", "counts"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[part] = sums.get(part, 0) + np.frombuffer(raw, f"u{len(raw) // SLICE}").astype(np.int64)
+        level = [np.floor(4 * np.log2(own + 1)).astype(np.uint8).tobytes() for own in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(level, pa.binary())], names=["part", "level"])
+
+    sums = docs.select("text").mapInArrow(run, "part long, counts binary").repartition("part").mapInArrow(added, "part long, level binary")
+    level = np.zeros((cells // SLICE, SLICE), np.uint8)
+    for part, own in sums.collect():
+        level[part] = np.frombuffer(own, np.uint8)
+    return level.reshape(-1)
 
 
 def _points(docs: DataFrame, words: int, percent: int, level: np.ndarray, few: int) -> DataFrame:
@@ -191,9 +204,39 @@ def _need(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
-def _under(points: DataFrame, coordinates: str, percent: int) -> DataFrame:
+def _bit_map(nodes: DataFrame) -> np.ndarray:
+    """64 bits a word, some of them set for ``nodes``, a kept table: 32 to 64 bits for each node, or 2 ** ``MOST_BITS`` in all.
+
+    The order of coordinates goes by their lowest and highest bits, so these are no guide here.
+    """
+    size = 1 << min(max((32 * nodes.count()).bit_length(), 16), MOST_BITS)
+    bit = F.shiftright("node", 24).bitwiseAND(F.lit(size - 1))
+    words = nodes.select(F.shiftright(bit, 6).alias("word"), bit.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    found = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
+    out = np.zeros(size >> 6, np.uint64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype(np.uint64)
+    return out
+
+
+def _in_map(words: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Which nodes may be those of the bit map: all of them, and few others."""
+    bit = node.astype(np.uint64) >> np.uint64(24) & np.uint64(64 * len(words) - 1)
+    return (words[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _rows_in_map(rows: DataFrame, words: np.ndarray) -> DataFrame:
+    """The rows (node, vid, comp, size, place) of nodes in the bit map."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_in_map(words, batch.column(0).to_numpy(zero_copy_only=False))))
+
+    return rows.select("node", "vid", "comp", "size", "place").mapInArrow(run, _NODE_ROWS)
+
+
+def _under(points: DataFrame, coordinates: str, percent: int, words: np.ndarray | None = None) -> DataFrame:
     """(node, vid, comp, size, place): each point in the nodes of its ``coordinates``, the column ``some`` or ``firsts``; size is that of its set, and
-    ``place`` of its coordinates come before the node's."""
+    ``place`` of its coordinates come before the node's. With ``words``, only nodes in that bit map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,9 +246,12 @@ def _under(points: DataFrame, coordinates: str, percent: int) -> DataFrame:
             # A further one of the first coordinates is only for nodes that are cut again.
             use = np.minimum(n - _need(n, percent) + 1, size) if coordinates == "firsts" else size
             place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            node = np.frombuffer(b"".join(raw), np.int64)
             keep = np.flatnonzero(place < np.repeat(use, size))
+            if words is not None:
+                keep = keep[_in_map(words, node[keep])]
             of = pa.array(np.repeat(np.arange(len(n)), size)[keep])
-            node = np.frombuffer(b"".join(raw), np.int64)[keep]
+            node = node[keep]
             columns = [pa.array(node), batch.column(0).take(of), batch.column(1).take(of), batch.column(2).take(of).cast(pa.int32()), pa.array(place[keep].astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "vid", "comp", "size", "place"])
 
@@ -265,18 +311,22 @@ def _with_partner(rows: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, "node long, vid long, comp long, n long, alike long")
 
 
-def _open_nodes(rows: DataFrame, percent: int) -> DataFrame:
+def _open_nodes(rows: DataFrame, percent: int, again: Callable[[np.ndarray], DataFrame] | None = None) -> DataFrame:
     """(node, vid, comp, n, alike) of the nodes with points of several components; n is the number of points, alike names the set of them.
 
-    In nodes of at most ``FEW_POINTS`` points, those that cannot be linked with another one are left out.
+    In nodes of at most ``FEW_POINTS`` points, those that cannot be linked with another one are left out. ``again`` makes the rows of nodes in a bit map
+    anew: most rows are alone in their node, and none of them is shuffled but for its name.
     """
-    ends = rows.groupBy("node").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    open_ = kept(ends.where("low != high").select(F.col("node").alias("of_node")), "node-names")
-    rows = kept(rows.join(small(open_), F.col("node") == F.col("of_node"), "left_semi"), "node-rows")
-    sizes = rows.groupBy(F.col("node").alias("of_node")).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("vid")).alias("alike"))
-    rows = rows.join(kept(sizes, "node-sizes"), F.col("node") == F.col("of_node"))
-    large = rows.where(F.col("n") > FEW_POINTS).select("node", "vid", "comp", "n", "alike")
-    return kept(large.unionByName(_with_partner(rows.where(F.col("n") <= FEW_POINTS), percent)), "open-nodes")
+    spark, at = rows.sparkSession, F.col("node") == F.col("of_node")
+    ends = rows.groupBy("node").agg(F.count("*").alias("n"), (F.min("comp") != F.max("comp")).alias("open"))
+    names = settled(spark, "node-names", lambda: ends.where((F.col("n") > FEW_POINTS) | F.col("open")))
+    words = _bit_map(names.where("open"))
+    rows = kept(again(words) if again else _rows_in_map(rows, words), "node-rows")
+    many = small(kept(names.where(F.col("n") > FEW_POINTS).withColumnRenamed("node", "of_node"), "large-nodes"))
+    large = kept(rows.join(many.where("open"), at).select("node", "vid", "comp", "n"), "large-node-rows")
+    alike = kept(large.groupBy(F.col("node").alias("of_node")).agg(F.bit_xor(F.xxhash64("vid")).alias("alike")), "alike")
+    large = large.join(alike, at).select("node", "vid", "comp", "n", "alike")
+    return kept(large.unionByName(_with_partner(rows.join(many, at, "left_anti"), percent)), "open-nodes")
 
 
 def _blocks(rows: DataFrame, leaf: int, complete: bool) -> DataFrame:
@@ -287,12 +337,14 @@ def _blocks(rows: DataFrame, leaf: int, complete: bool) -> DataFrame:
 
 def _some_groups(points: DataFrame, percent: int, leaf: int) -> DataFrame:
     """(grp, vid, comp): points that share one of ``some`` coordinates, large nodes dealt at random."""
-    return _blocks(_open_nodes(_under(points, "some", percent), percent), leaf, False)
+    under = partial(_under, points, "some", percent)
+    return _blocks(_open_nodes(under(), percent, under), leaf, False)
 
 
 def _all_groups(points: DataFrame, percent: int, leaf: int) -> DataFrame:
     """(grp, vid, comp): the groups in which points are compared; every linked pair of two components shares one."""
-    rows = _open_nodes(_under(points, "firsts", percent), percent)
+    under = partial(_under, points, "firsts", percent)
+    rows = _open_nodes(under(), percent, under)
     large = rows.where(F.col("n") > leaf)
     counts = large.groupBy("node", "n", "comp").agg(F.count("*").alias("k"))
     others = counts.groupBy(F.col("node").alias("of_node")).agg((F.max("n") - F.max("k")).alias("others"))
@@ -446,11 +498,25 @@ def overlap_join(docs: DataFrame, words: int = 5, percent: int = 80, leaf: int =
     return settled(docs.sparkSession, "overlap-join", lambda: _overlap_join(source, words, percent, leaf, few))
 
 
+def _in_groups(groups: DataFrame, points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``groups``, a kept table, and ``points`` for a join in which points outside of them are not shuffled, unless too many are inside."""
+    sent = small(groups)
+    if sent is groups:
+        vids = kept(groups.select("vid").distinct(), "group-points")
+        points = points.join(F.broadcast(vids), "vid", "left_semi") if vids.count() <= KEYS else points
+    return sent, points
+
+
+def _survivors(groups: DataFrame, points: DataFrame, percent: int, fine: bool) -> DataFrame:
+    groups, own = _in_groups(groups, points.select("vid", "n", "counts"))
+    return _surviving(groups.join(own if fine else _coarse(own), "vid"), percent, fine)
+
+
 def _clusters(groups_of: Callable[..., DataFrame], labelled: DataFrame, points: DataFrame, percent: int, leaf: int) -> DataFrame:
-    groups = groups_of(labelled, percent, leaf)
+    # Shuffles of a step give their disk back before the next one.
+    groups = settled(points.sparkSession, "groups", partial(groups_of, labelled, percent, leaf))
     for fine in (False, True):
-        own = points.select("vid", "n", "counts") if fine else _coarse(points)
-        groups = kept(_surviving(groups.join(own, "vid"), percent, fine), "clusters").withColumnRenamed("cluster", "grp")
+        groups = settled(points.sparkSession, "clusters", partial(_survivors, groups, points, percent, fine)).withColumnRenamed("cluster", "grp")
     return groups.select(F.col("grp").alias("cluster"), "vid")
 
 
